@@ -23,7 +23,8 @@ SIGNS = "ªº°§–—“”‘’½¼¾·•…\u00a0"
 SUSPECT = (
     rf"[^\t\n\f\r\x20-\x7e{LETTERS}{SIGNS}\u0300-\u036f\u00ad\u00ac]"
     r"|[ÃÂ][\u0080-\u00bf–—“”‘’…]|[\u00ac\u00ad](?![\r\n])|…(?=[^\r\n]*[\p{L}\d])"
-    r"|\?\p{L}|(?<![\p{L}\p{N})\]”’\"])\?|\b[nN]\? ?\d|[A-Z]Ç(?:[OE]|\b)|[nN]§|õ \d|\p{Lu}{2}[éàâ]|[éàâ]\p{Lu}{2}"
+    r"|\?\p{L}|(?<![\p{L}\p{N})\]”’\"])\?|\b[nN]\? ?\d|[A-Z]Ç[OE]|[nN]§|õ \d|\p{Lu}{2}[éàâ]|[éàâ]\p{Lu}{2}"
+    r"|\p{L}[“”]\p{L}|\p{Ll}\u00a0\p{Ll}|\b\p{L}{1,3}\? \p{Ll}"
 )
 PLAUSIBLE = frozenset(LETTERS + SIGNS + "\u00ad")
 #: Words that truly end in -ÇO (upper case).
@@ -83,7 +84,7 @@ def decode_spans(text: str, codec: str) -> tuple[str, int]:
         ch = text[i]
         lead = back.get(ch, 0) if ch > "\x7f" else 0
         more, low, high = _need(lead) if lead else (0, 0, 0)
-        if more and i + more < n:
+        if more and i + more < n and not (text[i + 1] in "\u00ac\u00ad" and text[i + 2 : i + 3] in ("\r", "\n")):
             tail = [back.get(text[i + k], 0) if text[i + k] > "\x7f" else 0 for k in range(1, more + 1)]
             if low <= tail[0] <= high and all(0x80 <= b <= 0xBF for b in tail[1:]):
                 got = bytes([lead, *tail]).decode("utf-8")
@@ -98,8 +99,9 @@ def decode_spans(text: str, codec: str) -> tuple[str, int]:
 
 
 _QUOTE_END = re.compile(r"[ÃÂ][“”‘’–—](?!\w)")
+_SPACE_IN_WORD = re.compile(r"(?<=[a-zà-ü])\u00a0(?=(?!d[aeo]s?\b|e\b)[a-zà-ü])")
 _WORD = re.compile(r"[^\s\u00a0(),;:/]+|(?<=\s)\u00a0(?=\s)")
-_LOST = re.compile(r"\ufffd|\?(?=[^\W\d_])|(?<![\w)\]”’\"?])\?|\b[nN]\?(?= ?\d)|\?{2,}(?=\w)")
+_LOST = re.compile(r"\ufffd|\?(?=[^\W\d_])|(?<![\w)\]”’\"?])\?|\b[nN]\?(?= ?\d)|\?{2,}(?=\w)|\b[^\W\d_]{1,3}\? (?=[a-zà-ü])")
 _HARD = re.compile(rf"[^\x00-\x7e{LETTERS}{SIGNS}\u0300-\u036f\u00ad\u00ac]")
 _MIXED = re.compile(r"(?<=[A-ZÀ-Ü])[éàâ](?=[A-ZÀ-Ü]|$)|^[éàâ](?=[A-ZÀ-Ü]{2})|[A-Z]{2}[éàâ]$")
 
@@ -108,7 +110,7 @@ def _word_in_other_page(word: str, hint: str | None) -> tuple[str, str | None]:
     """``word`` as another code page reads it, if only that makes it Portuguese."""
     hard = bool(_HARD.search(word)) or any("\x80" <= c <= "\x9f" for c in word)
     core = word.strip(".,;:!\"'“”")
-    cedilla = re.search(r"[A-ZÀ-Ü]Ç(?:[OE]S?)?$", core) and core not in TRUE_CO and core.rstrip("S") not in TRUE_CO
+    cedilla = re.search(r"[A-ZÀ-Ü]Ç[OE]S?$", core) and core not in TRUE_CO and core.rstrip("S") not in TRUE_CO
     mixed = bool(_MIXED.search(word))
     if not (hard or mixed or cedilla or word in ("n§", "N§")):
         return word, None
@@ -122,8 +124,11 @@ def _word_in_other_page(word: str, hint: str | None) -> tuple[str, str | None]:
     return word, None
 
 
-def repair(text: str) -> tuple[str, bool]:
-    """The restored text and whether characters stay lost. A text without damage comes back as it is."""
+def repair(text: str, name: bool = False) -> tuple[str, bool]:
+    """The restored text and whether characters stay lost. A text without damage comes back as it is.
+
+    ``name``: the text is a name, in which quotes and question marks have no place.
+    """
     now = text
     for _ in range(4):
         best, count = now, 0
@@ -131,7 +136,7 @@ def repair(text: str) -> tuple[str, bool]:
             new, k = decode_spans(now, codec)
             if k > count:
                 best, count = new, k
-        if not count or (count == 1 and _QUOTE_END.search(now) and not _HARD.search(now)):
+        if not count or (count == 1 and not name and _QUOTE_END.search(now) and not _HARD.search(now) and now.count("“") >= now.count("”")):
             break
         now = best
     if now == text or _HARD.search(now) or any("\x80" <= c <= "\x9f" for c in now):
@@ -148,13 +153,16 @@ def repair(text: str) -> tuple[str, bool]:
         if page == ("cp850", "cp1252"):  # signs of this page that are ordinary signs elsewhere
             now = re.sub(r"(?<=\b[nN])§|(?<=\d)§", "º", now)
             now = re.sub(r"(?<=\s)…(?=\s)", "à", now)
-    lost = bool(_LOST.search(now)) or bool(_HARD.search(now)) or any("\x80" <= c <= "\x9f" for c in now)
+    if name or (now.count("\u00a0") == 1 and "\t" not in now and "  " not in now):
+        now = _SPACE_IN_WORD.sub("á", now)
+    now = re.sub(r"(?<=[^\W\d_])“(?=[a-zà-ü])", "ô", now)
+    lost = (name and "?" in now) or bool(_LOST.search(now)) or bool(_HARD.search(now)) or any("\x80" <= c <= "\x9f" for c in now)
     return now, lost
 
 
 def _repair_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        pairs = [repair(v) for v in b["valor"]]
+        pairs = [repair(v, c == "nome") for v, c in zip(b["valor"], b["campo"], strict=True)]
         b["restaurado"] = [p[0] for p in pairs]
         b["perdido"] = [p[1] for p in pairs]
         yield b[b["perdido"] | (b["restaurado"] != b["valor"])]
@@ -168,7 +176,7 @@ def garbled_values(df: DataFrame, columns: tuple[str, ...] = ("trecho", "nome"),
     """
     pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
     long = df.selectExpr(f"`{id_col}` AS id", f"stack({len(columns)}, {pairs}) AS (campo, valor)")
-    hit = long.where(F.col("valor").rlike(SUSPECT))
+    hit = long.where(F.col("valor").rlike(SUSPECT) | ((F.col("campo") == "nome") & F.col("valor").contains("?")))
     id_type = dict(hit.dtypes)["id"]
     return hit.mapInPandas(_repair_batches, f"id {id_type}, campo string, valor string, restaurado string, perdido boolean")
 
