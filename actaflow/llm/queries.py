@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from actaflow.llm import canonical_list, encoding_repair, format_copies, survivors
+from actaflow.llm import canonical_list, encoding_repair, format_copies, name_variants, survivors, truncation
 from actaflow.runtime import table
 
 
@@ -33,6 +33,10 @@ QUERIES = {
     "p2_survivors": _found(survivors.surviving_records, "grupos_duplicados", "doeg_2026"),
     "p3_found": _found(format_copies.surplus_pairs, "doeg_2026"),
     "p3_collapsed": lambda spark, base: format_copies.collapse_copies(table(spark, base, "doeg_2026")).select("linha_csv", "copias"),
+    "p4_found": _found(name_variants.variant_pairs, "doeg_2026"),
+    "p4_entities": _found(name_variants.entities, "doeg_2026"),
+    "p5_found": _found(truncation.truncated, "doeg_2026"),
+    "p5_rates": _found(truncation.truncation_rates, "doeg_2026"),
     "p6_found": _found(canonical_list.mapped_values, "doeg_2026", "ref_orgaos", "ref_cargos"),
     "p6_unmatched": p6_unmatched,
     "p7_found": p7_found,
