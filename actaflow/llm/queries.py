@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from actaflow.llm import canonical_list, encoding_repair, format_copies, name_variants, survivors, truncation
+from actaflow.llm import canonical_list, encoding_repair, format_copies, name_variants, page_noise, survivors, truncation
 from actaflow.runtime import table
 
 
@@ -29,6 +29,8 @@ def p6_unmatched(spark, base):
 
 
 QUERIES = {
+    "p1_found": _found(page_noise.scanned, "doeg_2026"),
+    "p1_repaired": _found(page_noise.repaired, "doeg_2026"),
     "p2_found": _found(survivors.contested_fields, "grupos_duplicados", "doeg_2026"),
     "p2_survivors": _found(survivors.surviving_records, "grupos_duplicados", "doeg_2026"),
     "p3_found": _found(format_copies.surplus_pairs, "doeg_2026"),
