@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from actaflow.llm import canonical_list, encoding_repair, format_copies, name_variants, page_noise, survivors, truncation
+from actaflow.llm import bpe, canonical_list, encoding_repair, format_copies, mixing, name_variants, page_noise, reading_level, survivors, truncation
 from actaflow.runtime import table
 
 
@@ -43,6 +43,10 @@ QUERIES = {
     "p6_unmatched": p6_unmatched,
     "p7_found": p7_found,
     "p7_restored": p7_restored,
+    "p8_ids": _found(bpe.encoded, "documents"),
+    "p9_mix": _found(mixing.mix, "documents", "pesos_fontes"),
+    "p9_shares": _found(mixing.share_report, "documents", "pesos_fontes"),
+    "p10_found": lambda spark, base: reading_level.levelled(table(spark, base, "documents"), table(spark, base, "niveis_rotulados")).select("doc_id", "nivel"),
 }
 
 ORACLES: dict[str, str] = {}
