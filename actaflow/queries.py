@@ -1,6 +1,494 @@
-"""Queries of the core engine and their SQL, by name."""
+"""Queries of the core engine and their SQL, by name. Every query reads its whole tables."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from actaflow import schemas as S
+from actaflow.functions import text as T
+from actaflow.operators import analytics as A
+from actaflow.operators import consolidate as C
+from actaflow.operators import dedup as D
+from actaflow.operators import editions as E
+from actaflow.operators import timeline as L
+from actaflow.plans import extract as X
+from actaflow.runtime import table
+
+MILESTONES = [("2026-01-01", "Gestao A"), ("2026-04-05", "Gestao B"), ("2026-10-01", "Gestao C")]
+NOW = "2026-06-15 12:00:00"
+GOVERNORS = [("Gestao A", "2025-01-01", "2026-04-04"), ("Gestao B", "2026-04-05", "2026-09-30"), ("Gestao C", "2026-10-01", "2099-12-31")]
+
+# ---------------------------------------------------------------- tables and adapters
+
+
+def acts(spark: SparkSession, base: str) -> DataFrame:
+    return table(spark, base, "doeg_2026")
+
+
+def mov(spark: SparkSession, base: str) -> DataFrame:
+    return table(spark, base, "movimentacoes")
+
+
+def editions(spark: SparkSession, base: str) -> DataFrame:
+    return table(spark, base, "edicoes")
+
+
+def history(spark: SparkSession, base: str) -> DataFrame:
+    """Timeline of orders seen as acts: one person a customer, F a dismissal, O an appointment."""
+    o = table(spark, base, "orders")
+    kind = F.when(F.col("o_orderstatus") == "F", "exoneracao").when(F.col("o_orderstatus") == "O", "nomeacao").otherwise("outro")
+    rows = o.select(
+        F.col("o_custkey").alias("pessoa"), F.col("o_orderkey").alias("linha"), F.to_date("o_orderdate").alias("data"), kind.alias("tipo_ato"),
+        F.lit("").alias("cargo_norm"), F.col("o_orderpriority").alias("orgao_norm"))
+    return L.timeline(rows, "pessoa", "linha")
+
+
+def act_timeline(spark: SparkSession, base: str) -> DataFrame:
+    return L.timeline(L.person_acts(acts(spark, base)))
+
+
+def act_returns(spark: SparkSession, base: str) -> DataFrame:
+    return C.returns(act_timeline(spark, base))
+
+
+# ---------------------------------------------------------------- SQL building blocks
+
+
+def _sql_norm(c: str) -> str:
+    return rf"upper(trim(regexp_replace(strip_accents(coalesce({c}, '')), '[\t\n\f\r \x{{00a0}}]+', ' ', 'g')))"
+
+
+_TERMS = ", ".join(f"'{t}'" for t in S.ADMINISTRATIVE_TERMS)
+_STARTS = ", ".join(f"'{t}'" for t in S.SUSPICIOUS_STARTS)
+
+
+def _sql_reasons(norm: str) -> str:
+    toks = f"list_filter(string_split({norm}, ' '), lambda x: x <> '')"
+    return (
+        f"concat_ws(';', CASE WHEN len({toks}) < 2 THEN 'menos_de_2_tokens' END, CASE WHEN len({toks}) > 14 THEN 'mais_de_14_tokens' END, "
+        f"CASE WHEN regexp_matches({norm}, '[0-9]') THEN 'tem_numero' END, CASE WHEN {toks}[1] IN ({_STARTS}) THEN 'inicio_suspeito' END, "
+        f"CASE WHEN regexp_matches({norm}, '\\b(?:{'|'.join(S.ADMINISTRATIVE_PHRASES)})\\b') THEN 'frase_administrativa' END, "
+        f"CASE WHEN list_has_any({toks}, [{_TERMS}]) THEN 'termo_administrativo' END, CASE WHEN length({norm}) > 80 THEN 'muito_longo' END)")
+
+
+_NOME = _sql_norm("nome")
+_PERSON = f"""persons AS (SELECT linha_csv, estado, tipo_ato, nome, cargo, orgao, cargo_assinante, governador_edicao, try_cast(data_publicacao AS DATE) AS data,
+ {_NOME} AS nome_normalizado, {_sql_norm('cargo')} AS cargo_norm, {_sql_norm('orgao')} AS orgao_norm FROM doeg_2026),
+acts AS (SELECT *, nome_normalizado AS pessoa, linha_csv AS linha FROM persons WHERE data IS NOT NULL AND nome_normalizado <> '' AND {_sql_reasons('nome_normalizado')} = '')"""
+_ORDERS = """acts AS (SELECT o_custkey AS pessoa, o_orderkey AS linha, CAST(o_orderdate AS DATE) AS data,
+ CASE o_orderstatus WHEN 'F' THEN 'exoneracao' WHEN 'O' THEN 'nomeacao' ELSE 'outro' END AS tipo_ato, '' AS cargo_norm, o_orderpriority AS orgao_norm FROM orders)"""
+_TIMELINE = """ordered AS (SELECT *, CASE tipo_ato WHEN 'exoneracao' THEN 0 WHEN 'nomeacao' THEN 1 ELSE 99 END AS o FROM acts),
+seen AS (SELECT *, row_number() OVER w AS ordem_pessoa, lag(tipo_ato) OVER w AS ato_anterior, lag(data) OVER w AS data_anterior, lag(cargo_norm) OVER w AS cargo_anterior, lag(orgao_norm) OVER w AS orgao_anterior,
+ last_value(CASE WHEN tipo_ato = 'exoneracao' THEN {'d': data, 'c': cargo_norm, 'g': orgao_norm} END IGNORE NULLS) OVER (PARTITION BY pessoa ORDER BY data, o, linha ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e
+ FROM ordered WINDOW w AS (PARTITION BY pessoa ORDER BY data, o, linha)),
+timeline AS (SELECT *, CAST(data - data_anterior AS INTEGER) AS dias_desde_anterior, (tipo_ato = 'nomeacao' AND e IS NOT NULL) AS retorno,
+ CASE WHEN tipo_ato = 'nomeacao' THEN e.d END AS data_exoneracao, CASE WHEN tipo_ato = 'nomeacao' THEN CAST(data - e.d AS INTEGER) END AS dias_desde_exoneracao,
+ CASE WHEN tipo_ato = 'nomeacao' AND e IS NOT NULL THEN cargo_norm <> '' AND e.c <> '' AND cargo_norm <> e.c END AS mudou_cargo,
+ CASE WHEN tipo_ato = 'nomeacao' AND e IS NOT NULL THEN orgao_norm <> '' AND e.g <> '' AND orgao_norm <> e.g END AS mudou_orgao FROM seen)"""
+_RET_STATE = """'N_' || CASE WHEN dias_desde_exoneracao IS NULL THEN 'desconhecido' WHEN dias_desde_exoneracao = 0 THEN 'imediato' WHEN dias_desde_exoneracao < 30 THEN 'curto' WHEN dias_desde_exoneracao <= 180 THEN 'medio' ELSE 'longo' END
+ || '_' || CASE WHEN mudou_cargo THEN 'novo_cargo' ELSE 'mesmo_cargo' END || '_' || CASE WHEN mudou_orgao THEN 'novo_orgao' ELSE 'mesmo_orgao' END"""
+_RET = f"ret AS (SELECT *, year(data) AS ano, {_RET_STATE} AS estado_n FROM timeline WHERE retorno)"
+_EVENTS = """ev AS (SELECT pessoa, linha, ano, data_exoneracao AS data, 'E' AS estado, 0 AS k FROM ret UNION ALL SELECT pessoa, linha, ano, data, estado_n, 1 FROM ret),
+nx AS (SELECT *, lead(estado) OVER (PARTITION BY pessoa ORDER BY data, linha, k) AS prox_estado FROM ev WHERE data IS NOT NULL),
+tr AS (SELECT estado, prox_estado, count(*) AS n FROM nx WHERE prox_estado IS NOT NULL GROUP BY ALL)"""
+_BASE = f"WITH {_PERSON}, {_TIMELINE}"
+_CHAIN = f"{_BASE}, {_RET}, {_EVENTS}"
+
+
+def _sql_agency(c: str) -> str:
+    s = rf"regexp_replace(trim(coalesce({c}, '')), '(?i)^(?:da|do|das|dos)[\t\n\f\r ]+', '')"
+    s = rf"regexp_replace(regexp_replace({s}, '[\x{{fffe}}\x{{fffd}}]', '', 'g'), '[\t\n\f\r ]*-[\t\n\f\r ]*', ' ', 'g')"
+    return rf"regexp_replace(trim({s}, ' ,.;:'), '[\t\n\f\r ]+', ' ', 'g')"
+
+
+def _sql_label(c: str) -> str:
+    s = rf"regexp_replace(CASE WHEN lower(trim(coalesce({c}, ''))) IN ('nan', 'none', 'null') THEN '' ELSE trim(coalesce({c}, '')) END, '[\t\n\f\r ]+', ' ', 'g')"
+    return f"trim(regexp_replace(regexp_replace({s}, ' ?- ?', ' - ', 'g'), ' ?/ ?', '/', 'g'))"
+
+
+def _sql_key(c: str) -> str:
+    return f"trim(regexp_replace(regexp_replace(lower({_sql_label(c)}), ' ?- ?', ' ', 'g'), ' +', ' ', 'g'))"
+
+
+_AUTHOR = "CASE WHEN regexp_matches(trim(coalesce(cargo_assinante, '')), '(?i)^(?:sub)?secret.rio(?:$|[^\\p{L}\\p{N}_])') THEN 'Secretaria/Subsecretaria' WHEN regexp_matches(trim(coalesce(cargo_assinante, '')), '(?i)^governador(?:$|[^\\p{L}\\p{N}_])') THEN 'Governador' ELSE 'Outro/Nao identificado' END"
+_REP = "coalesce(nullif(trim(split_part(coalesce(nullif(trim(governador_edicao), ''), 'Nao identificado'), ' - ', 1)), ''), 'Nao identificado')"
+_ORIGIN = f"CASE {_REP} WHEN 'Nao identificado' THEN 'Nao identificado' " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in S.ORIGINS.items()) + " ELSE CASE WHEN contains(governador_edicao, 'Governador em exerc') THEN 'Vice-governadoria' ELSE 'Executivo estadual' END END"
+_MOVED = f"""linha_csv, nome_normalizado AS pessoa, estado, CAST(year(data) AS INTEGER) AS ano, tipo_ato, {_sql_agency('orgao')} AS orgao, cargo, coalesce(nullif(trim(cargo_assinante), ''), 'Sem identificacao') AS autoridade_assinante,
+ {_AUTHOR} AS autoria_ato, coalesce(nullif(trim(governador_edicao), ''), 'Nao identificado') AS governador_edicao, {_REP} AS representante_governo, {_ORIGIN} AS origem_representante, {_REP} || ' (' || {_ORIGIN} || ')' AS representante_origem"""
+_WRITE = "data_publicacao, caderno, tipo_ato, nome, substr(trecho, 1, 180)"
+_LOAD = f"data_publicacao, tipo_ato, fonte_url, arquivo_markdown, {_NOME}, {_sql_norm('cargo')}, {_sql_norm('orgao')}"
+_MAINT = ", ".join(_sql_norm(c) for c in ("data_publicacao", "caderno", "tipo_ato", "nome", "cargo", "orgao", "assinante")) + f", substr({_sql_norm('trecho')}, 1, 240)"
+_OPTIONS = " UNION ".join(f"SELECT '{c}' AS filtro, CAST({c} AS VARCHAR) AS valor FROM movimentacoes WHERE estado = 'GO'" for c in A.FILTERS)
+
+# ---------------------------------------------------------------- queries
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+
+def _query(name: str, sql: str | None = None):
+    def keep(fn):
+        QUERIES[name] = fn
+        if sql:
+            ORACLES[name] = sql
+        return fn
+
+    return keep
+
+
+_YEARLY = """SELECT CAST(year(data) AS INTEGER) AS ano, count(*) AS retornos, round(avg(dias_desde_exoneracao), 6) AS media_dias, median(dias_desde_exoneracao) AS mediana_dias,
+ CAST(count(*) FILTER (WHERE mudou_cargo) AS BIGINT) AS mudou_cargo, CAST(count(*) FILTER (WHERE mudou_orgao) AS BIGINT) AS mudou_orgao FROM timeline WHERE retorno GROUP BY 1"""
+
+
+@_query("returns_by_year", f"WITH {_PERSON}, {_TIMELINE} {_YEARLY}")
+def _(spark, base):
+    return L.returns_by_year(act_timeline(spark, base))
+
+
+@_query("returns_by_year_orders", f"WITH {_ORDERS}, {_TIMELINE} {_YEARLY}")
+def _(spark, base):
+    return L.returns_by_year(history(spark, base))
+
+
+_COLS = "ordem_pessoa, ato_anterior, data_anterior, orgao_anterior, dias_desde_anterior, retorno, data_exoneracao, dias_desde_exoneracao, mudou_cargo, mudou_orgao"
+
+
+@_query("timeline_full", f"{_BASE} SELECT linha_csv, nome_normalizado, {_COLS} FROM timeline")
+def _(spark, base):
+    return act_timeline(spark, base).selectExpr("linha_csv", "nome_normalizado", *_COLS.split(", "))
+
+
+@_query("timeline_orders", f"WITH {_ORDERS}, {_TIMELINE} SELECT linha, pessoa, {_COLS} FROM timeline")
+def _(spark, base):
+    return history(spark, base).selectExpr("linha", "pessoa", *_COLS.split(", "))
+
+
+@_query("returns_after_dismissal", f"{_BASE} SELECT linha_csv, data, data_exoneracao, dias_desde_exoneracao FROM timeline WHERE retorno")
+def _(spark, base):
+    return act_timeline(spark, base).where("retorno").select("linha_csv", "data", "data_exoneracao", "dias_desde_exoneracao")
+
+
+@_query("person_summary", f"""{_BASE} SELECT *, total_nomeacoes > 0 AND total_exoneracoes > 0 AS teve_ambos, total_retornos > 0 AS teve_retorno FROM (SELECT nome_normalizado, min_by(nome, ordem_pessoa) AS nome_exemplo, count(*) AS total_atos,
+ count(*) FILTER (WHERE tipo_ato = 'nomeacao') AS total_nomeacoes, count(*) FILTER (WHERE tipo_ato = 'exoneracao') AS total_exoneracoes, count(*) FILTER (WHERE retorno) AS total_retornos, min(data) AS primeira_data, max(data) AS ultima_data,
+ count(DISTINCT nullif(cargo, '')) AS cargos_distintos, count(DISTINCT nullif(orgao, '')) AS orgaos_distintos FROM timeline GROUP BY 1)""")
+def _(spark, base):
+    return L.person_summary(act_timeline(spark, base))
+
+
+_MS = " UNION ALL ".join(f"SELECT DATE '{d}' AS d, '{n}' AS marco" for d, n in MILESTONES)
+
+
+@_query("milestone_asof", f"WITH m AS ({_MS}), a AS (SELECT linha_csv, try_cast(data_publicacao AS DATE) AS data FROM doeg_2026) SELECT linha_csv, marco, d AS data_marco, CAST(data - d AS INTEGER) AS dias_desde_marco FROM a ASOF LEFT JOIN m ON a.data >= m.d")
+def _(spark, base):
+    rows = acts(spark, base).select("linha_csv", F.expr("try_to_date(data_publicacao, 'yyyy-MM-dd')").alias("data"))
+    return L.latest_milestone(rows, MILESTONES).drop("data")
+
+
+@_query("rejected_names", f"SELECT * FROM (SELECT linha_csv, nome, {_sql_reasons(_NOME)} AS motivo_rejeicao FROM doeg_2026) WHERE motivo_rejeicao <> ''")
+def _(spark, base):
+    return L.rejected_names(acts(spark, base))
+
+
+@_query("name_reasons", f"SELECT motivo, count(*) AS atos FROM (SELECT unnest(string_split({_sql_reasons(_NOME)}, ';')) AS motivo FROM doeg_2026) WHERE motivo <> '' GROUP BY 1")
+def _(spark, base):
+    return acts(spark, base).select(F.explode(F.split(T.rejection_reasons(F.col("nome")), ";")).alias("motivo")).where("motivo <> ''").groupBy("motivo").agg(F.count("*").alias("atos"))
+
+
+@_query("clean_names")
+def _(spark, base):
+    return acts(spark, base).select("linha_csv", T.clean_person_name(F.col("nome")).alias("nome_limpo"))
+
+
+for _name, _key, _sql in (("dedup_write_key", D.write_key, _WRITE), ("dedup_load_key", D.load_key, _LOAD), ("dedup_norm_key", D.maintenance_key, _MAINT)):
+    QUERIES[_name] = (lambda key: lambda spark, base: D.first_wins(acts(spark, base), key()).select("linha_csv"))(_key)
+    ORACLES[_name] = f"SELECT min(linha_csv) AS linha_csv FROM doeg_2026 GROUP BY {_sql}"
+
+
+@_query("dedup_report", f"SELECT arquivo_markdown AS arquivo, CAST(sum(n) AS BIGINT) AS linhas_antes, count(*) AS linhas_depois, CAST(sum(n) - count(*) AS BIGINT) AS duplicatas_removidas FROM (SELECT arquivo_markdown, count(*) AS n FROM doeg_2026 GROUP BY arquivo_markdown, {_MAINT}) GROUP BY 1")
+def _(spark, base):
+    return D.dedup_report(acts(spark, base), D.maintenance_key(), "arquivo_markdown")
+
+
+@_query("full_row_distinct", "SELECT DISTINCT * FROM falhas")
+def _(spark, base):
+    return table(spark, base, "falhas").dropDuplicates()
+
+
+@_query("anti_new_acts", f"SELECT linha_csv FROM doeg_2026 WHERE data_publicacao >= '2026-07-01' AND md5(concat_ws('|', {_WRITE})) NOT IN (SELECT md5(concat_ws('|', {_WRITE})) FROM doeg_2026 WHERE data_publicacao < '2026-07-01')")
+def _(spark, base):
+    a = acts(spark, base)
+    return D.new_rows(a.where("data_publicacao < '2026-07-01'"), a.where("data_publicacao >= '2026-07-01'"), D.write_key()).select("linha_csv")
+
+
+@_query("incremental_append", f"""SELECT linha_csv FROM doeg_2026 WHERE data_publicacao < '2026-07-01' UNION ALL SELECT min(linha_csv) FROM doeg_2026 WHERE data_publicacao >= '2026-07-01'
+ AND md5(concat_ws('|', {_WRITE})) NOT IN (SELECT md5(concat_ws('|', {_WRITE})) FROM doeg_2026 WHERE data_publicacao < '2026-07-01') GROUP BY {_WRITE}""")
+def _(spark, base):
+    a = acts(spark, base)
+    return D.upsert(a.where("data_publicacao < '2026-07-01'"), a.where("data_publicacao >= '2026-07-01'"), D.write_key()).select("linha_csv")
+
+
+@_query("incremental_timeline", f"{_BASE} SELECT linha_csv, ordem_pessoa, retorno FROM timeline")
+def _(spark, base):
+    a = L.person_acts(acts(spark, base))
+    return L.affected_timeline(a.where("data < '2026-07-01'"), a.where("data >= '2026-07-01'")).select("linha_csv", "ordem_pessoa", "retorno")
+
+
+@_query("normalize_text", f"SELECT linha_csv, {_NOME} AS nome_norm, {_sql_norm('orgao')} AS orgao_norm, {_sql_norm('assinante')} AS assinante_norm FROM doeg_2026")
+def _(spark, base):
+    return acts(spark, base).select("linha_csv", *[T.normalize_text(F.col(c)).alias(f"{c}_norm") for c in ("nome", "orgao", "assinante")])
+
+
+@_query("agency_normalize", f"SELECT linha_csv, {_sql_agency('orgao')} AS orgao FROM doeg_2026")
+def _(spark, base):
+    return acts(spark, base).select("linha_csv", T.agency(F.col("orgao")).alias("orgao"))
+
+
+@_query("agency_chart_key", f"SELECT DISTINCT {_sql_key('orgao')} AS chave, {_sql_label('orgao')} AS rotulo FROM movimentacoes")
+def _(spark, base):
+    return mov(spark, base).select(T.agency_key(F.col("orgao")).alias("chave"), T.agency_label(F.col("orgao")).alias("rotulo")).distinct()
+
+
+@_query("agency_labels", f"WITH n AS (SELECT {_sql_key('orgao')} AS chave, {_sql_label('orgao')} AS rotulo, count(*) AS n FROM movimentacoes GROUP BY ALL) SELECT chave, first(rotulo ORDER BY n DESC, rotulo) AS rotulo, CAST(sum(n) AS BIGINT) AS atos FROM n WHERE chave <> '' GROUP BY 1")
+def _(spark, base):
+    return A.agency_labels(mov(spark, base))
+
+
+@_query("slug", "SELECT arquivo, coalesce(nullif(upper(trim(regexp_replace(strip_accents(coalesce(caderno, '')), '[^A-Za-z0-9]+', '_', 'g'), '_')), ''), 'caderno') AS slug FROM edicoes")
+def _(spark, base):
+    return editions(spark, base).select("arquivo", T.slug(F.col("caderno")).alias("slug"))
+
+
+@_query("title_case", """SELECT linha_csv, array_to_string(list_transform(string_split(lower(trim(regexp_replace(assinante, '[\t\n\f\r \\x{00a0}]+', ' ', 'g'))), ' '), lambda w, i: CASE WHEN i > 1 AND w IN ('de', 'da', 'do', 'das', 'dos', 'e') THEN w ELSE upper(substr(w, 1, 1)) || substr(w, 2) END), ' ') AS assinante FROM doeg_2026""")
+def _(spark, base):
+    return acts(spark, base).select("linha_csv", T.title_case(F.col("assinante")).alias("assinante"))
+
+
+@_query("authorship_case", f"SELECT {_AUTHOR} AS autoria_ato, count(*) AS atos FROM doeg_2026 GROUP BY 1")
+def _(spark, base):
+    return acts(spark, base).groupBy(T.authorship(F.col("cargo_assinante")).alias("autoria_ato")).agg(F.count("*").alias("atos"))
+
+
+@_query("mov_projection", f"{_BASE} SELECT {_MOVED}, data AS data_movimentacao FROM timeline")
+def _(spark, base):
+    return C.movements(act_timeline(spark, base))
+
+
+_DUR = "CASE WHEN dias_desde_exoneracao IS NULL THEN 'desconhecido' WHEN dias_desde_exoneracao = 0 THEN 'imediato' WHEN dias_desde_exoneracao < 30 THEN 'curto' WHEN dias_desde_exoneracao <= 180 THEN 'medio' ELSE 'longo' END"
+
+
+@_query("ret_projection", f"{_BASE} SELECT {_MOVED}, data AS data_nomeacao, data_exoneracao, dias_desde_exoneracao, mudou_cargo, mudou_orgao, {_DUR} AS tempo_cluster, {_RET_STATE} AS estado_n FROM timeline WHERE retorno")
+def _(spark, base):
+    return act_returns(spark, base)
+
+
+@_query("duration_class", f"{_BASE} SELECT CAST(year(data) AS INTEGER) AS ano, {_DUR} AS tempo_cluster, count(*) AS quantidade FROM timeline WHERE retorno GROUP BY ALL")
+def _(spark, base):
+    return A.count_by(act_returns(spark, base), "ano", "tempo_cluster")
+
+
+@_query("count_year_type", "SELECT ano, tipo_ato, count(*) AS quantidade FROM movimentacoes WHERE ano IS NOT NULL AND tipo_ato IS NOT NULL GROUP BY ALL")
+def _(spark, base):
+    return A.count_by(mov(spark, base), "ano", "tipo_ato")
+
+
+@_query("signed_flow_rep", "SELECT representante_governo, tipo_ato, CASE WHEN tipo_ato = 'exoneracao' THEN -count(*) ELSE count(*) END AS fluxo FROM movimentacoes GROUP BY representante_governo, tipo_ato")
+def _(spark, base):
+    return A.signed_flow(mov(spark, base), "representante_governo")
+
+
+_BAL = "count(*) FILTER (WHERE tipo_ato = 'exoneracao') AS exoneracao, count(*) FILTER (WHERE tipo_ato = 'nomeacao') AS nomeacao"
+
+
+@_query("balance_pivot", f"SELECT *, nomeacao - exoneracao AS saldo, nomeacao + exoneracao AS atos FROM (SELECT representante_origem, {_BAL} FROM movimentacoes GROUP BY 1)")
+def _(spark, base):
+    return A.balance(mov(spark, base), "representante_origem")
+
+
+_TOP = f"""n AS (SELECT {_sql_key('orgao')} AS chave, {_sql_label('orgao')} AS rotulo, count(*) AS n FROM movimentacoes GROUP BY ALL),
+ top AS (SELECT chave, first(rotulo ORDER BY n DESC, rotulo) AS rotulo, sum(n) AS atos FROM n WHERE chave <> '' GROUP BY 1 ORDER BY atos DESC, chave LIMIT 10)"""
+
+
+@_query("top10_agencies", f"WITH {_TOP} SELECT chave, rotulo, tipo_ato, CASE WHEN tipo_ato = 'exoneracao' THEN -count(*) ELSE count(*) END AS fluxo FROM (SELECT {_sql_key('orgao')} AS chave, tipo_ato FROM movimentacoes) JOIN top USING (chave) GROUP BY chave, rotulo, tipo_ato")
+def _(spark, base):
+    return A.top_agencies(mov(spark, base))
+
+
+@_query("month_series", "SELECT CAST(date_trunc('month', data_movimentacao) AS DATE) AS mes, representante_governo, tipo_ato, count(*) AS quantidade, coalesce(string_agg(DISTINCT origem_representante, ' / ' ORDER BY origem_representante), '') AS origens FROM movimentacoes WHERE data_movimentacao IS NOT NULL GROUP BY 1, 2, 3")
+def _(spark, base):
+    return A.month_series(mov(spark, base))
+
+
+@_query("month_gap_fill", """WITH n AS (SELECT CAST(date_trunc('month', data_movimentacao) AS DATE) AS mes, representante_governo, tipo_ato, count(*) AS quantidade FROM movimentacoes WHERE data_movimentacao IS NOT NULL GROUP BY ALL),
+ s AS (SELECT representante_governo, tipo_ato, CAST(unnest(generate_series(min(mes), max(mes), INTERVAL 1 MONTH)) AS DATE) AS mes FROM n GROUP BY 1, 2) SELECT s.mes, s.representante_governo, s.tipo_ato, quantidade FROM s LEFT JOIN n ON s.mes = n.mes AND s.representante_governo = n.representante_governo AND s.tipo_ato = n.tipo_ato""")
+def _(spark, base):
+    return A.gap_filled(mov(spark, base))
+
+
+@_query("adaptive_period", """WITH m AS (SELECT representante_governo, tipo_ato, data_movimentacao AS d FROM movimentacoes WHERE data_movimentacao IS NOT NULL), f AS (SELECT count(DISTINCT representante_governo) <= 3 AS mensal, max(d) AS fim FROM m)
+ SELECT CASE WHEN mensal THEN CASE WHEN date_trunc('month', d) = date_trunc('month', fim) THEN fim + 1 ELSE last_day(d) END ELSE make_date(year(d), 1, 1) END AS periodo, representante_governo, tipo_ato, count(*) AS quantidade FROM m, f GROUP BY ALL""")
+def _(spark, base):
+    return A.adaptive_period(mov(spark, base))
+
+
+@_query("cards", """SELECT count(*) AS atos, count(DISTINCT pessoa) AS pessoas, count(*) FILTER (WHERE tipo_ato = 'nomeacao') AS nomeacoes, count(*) FILTER (WHERE tipo_ato = 'exoneracao') AS exoneracoes,
+ count(*) FILTER (WHERE tipo_ato = 'nomeacao' AND autoria_ato = 'Governador') AS nomeacoes_governador, count(*) FILTER (WHERE tipo_ato = 'exoneracao' AND autoria_ato = 'Governador') AS exoneracoes_governador,
+ count(*) FILTER (WHERE tipo_ato = 'nomeacao') - count(*) FILTER (WHERE tipo_ato = 'exoneracao') AS saldo FROM movimentacoes""")
+def _(spark, base):
+    return A.cards(mov(spark, base))
+
+
+@_query("six_filters", "SELECT pessoa, data_movimentacao, orgao FROM movimentacoes WHERE estado IN ('GO') AND ano IN (2026) AND autoria_ato IN ('governador', 'desconhecido') AND tipo_ato IN ('nomeacao')")
+def _(spark, base):
+    chosen = {"estado": ["GO"], "ano": [2026], "representante_origem": [], "orgao": [], "autoria_ato": ["governador", "desconhecido"], "tipo_ato": ["nomeacao"]}
+    return A.filtered(mov(spark, base), **chosen).select("pessoa", "data_movimentacao", "orgao")
+
+
+@_query("filter_options", f"SELECT filtro, valor FROM ({_OPTIONS}) WHERE valor IS NOT NULL AND valor <> ''")
+def _(spark, base):
+    return A.filter_options(mov(spark, base), "GO")
+
+
+@_query("mobility_rates", f"{_BASE}, {_RET} SELECT CAST(ano AS INTEGER) AS ano, round(avg(CAST(mudou_cargo AS INT)), 6) AS taxa_cargo, round(avg(CAST(mudou_orgao AS INT)), 6) AS taxa_orgao, count(*) AS retornos FROM ret GROUP BY 1")
+def _(spark, base):
+    return A.mobility_rates(act_returns(spark, base))
+
+
+@_query("return_summary_stats", f"{_BASE}, {_RET} SELECT count(*) AS retornos, count(DISTINCT pessoa) AS pessoas, round(avg(dias_desde_exoneracao), 6) AS media, median(dias_desde_exoneracao) AS mediana, round(avg(CAST(mudou_cargo AS INT)), 6) AS taxa_cargo, round(avg(CAST(mudou_orgao AS INT)), 6) AS taxa_orgao FROM ret")
+def _(spark, base):
+    return A.return_stats(act_returns(spark, base))
+
+
+@_query("transitions", f"{_CHAIN} SELECT * FROM tr")
+def _(spark, base):
+    return A.transitions(act_returns(spark, base))
+
+
+@_query("transition_probs", f"{_CHAIN} SELECT estado, prox_estado, n, round(n / sum(n) OVER (PARTITION BY estado), 8) AS p FROM tr")
+def _(spark, base):
+    return A.transition_probabilities(act_returns(spark, base))
+
+
+@_query("top30_transitions", f"{_CHAIN} SELECT * FROM tr ORDER BY n DESC, estado, prox_estado LIMIT 30")
+def _(spark, base):
+    return A.top_transitions(act_returns(spark, base))
+
+
+@_query("top30_by_year", f"{_CHAIN}, ty AS (SELECT CAST(ano AS INTEGER) AS ano, estado, prox_estado, count(*) AS n FROM nx WHERE prox_estado IS NOT NULL GROUP BY ALL) SELECT *, CAST(row_number() OVER (PARTITION BY ano ORDER BY n DESC, estado, prox_estado) AS INTEGER) AS posicao FROM ty QUALIFY posicao <= 30")
+def _(spark, base):
+    return A.top_transitions_by_year(act_returns(spark, base))
+
+
+@_query("graph_degree", f"{_CHAIN}, top AS (SELECT * FROM tr ORDER BY n DESC, estado, prox_estado LIMIT 30) SELECT estado, count(*) AS grau FROM (SELECT estado FROM top UNION ALL SELECT prox_estado FROM top) GROUP BY 1")
+def _(spark, base):
+    return A.degrees(act_returns(spark, base))
+
+
+@_query("stationary_vector")
+def _(spark, base):
+    return A.stationary_vector(act_returns(spark, base))
+
+
+@_query("label_occurrence", """SELECT arquivo, CASE WHEN k = 1 THEN caderno WHEN regexp_matches(caderno, '(?i)\\b(?:complementar|suplemento|extra)\\b') THEN caderno || ' ' || k ELSE caderno || ' - Edicao ' || k END AS rotulo
+ FROM (SELECT *, row_number() OVER (PARTITION BY uf, data_publicacao, caderno ORDER BY arquivo) AS k FROM edicoes)""")
+def _(spark, base):
+    return E.numbered_labels(editions(spark, base), "caderno", ("uf", "data_publicacao"), "arquivo").select("arquivo", "rotulo")
+
+
+_GOV = " UNION ALL ".join(f"SELECT '{n}' AS gestao, DATE '{a}' AS de, DATE '{b}' AS ate" for n, a, b in GOVERNORS)
+
+
+@_query("governor_range_join", f"WITH g AS ({_GOV}) SELECT arquivo, gestao FROM edicoes LEFT JOIN g ON try_cast(data_publicacao AS DATE) BETWEEN de AND ate")
+def _(spark, base):
+    terms = spark.createDataFrame(GOVERNORS, "gestao string, de string, ate string").selectExpr("gestao", "to_date(de) AS de", "to_date(ate) AS ate")
+    day = F.expr("try_to_date(data_publicacao, 'yyyy-MM-dd')")
+    rows = editions(spark, base).select("arquivo", day.alias("d"))
+    return rows.join(F.broadcast(terms), F.col("d").between(F.col("de"), F.col("ate")), "left").select("arquivo", "gestao")  # a parameter list
+
+
+_NEEDLES = ["Gazeta Oficial", "Protocolo", "livro"]
+_NEEDLE_CASE = " ".join(f"WHEN contains(trecho, '{n}') THEN '{n}'" for n in _NEEDLES)
+
+
+@_query("known_name_contains", f"SELECT CASE {_NEEDLE_CASE} ELSE '' END AS achado, count(*) AS atos FROM doeg_2026 GROUP BY 1")
+def _(spark, base):
+    hit = F.lit("")
+    for n in reversed(_NEEDLES):
+        hit = F.when(F.contains("trecho", F.lit(n)), n).otherwise(hit)
+    return acts(spark, base).groupBy(hit.alias("achado")).agg(F.count("*").alias("atos"))
+
+
+@_query("contextual_signer_asof", "SELECT linha_csv, last_value(nullif(cargo_assinante, '') IGNORE NULLS) OVER (PARTITION BY arquivo_markdown ORDER BY linha_csv ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cargo_contexto FROM doeg_2026")
+def _(spark, base):
+    from pyspark.sql import Window
+
+    by = Window.partitionBy("arquivo_markdown").orderBy("linha_csv").rowsBetween(Window.unboundedPreceding, 0)
+    return acts(spark, base).select("linha_csv", F.last(F.nullif(F.col("cargo_assinante"), F.lit("")), ignorenulls=True).over(by).alias("cargo_contexto"))
+
+
+@_query("queue_pop", f"SELECT arquivo, data_publicacao, tentativas FROM edicoes WHERE estado IN ('pendente', 'erro') AND (disponivel_em IS NULL OR disponivel_em <= TIMESTAMP '{NOW}') ORDER BY data_publicacao DESC, tentativas, arquivo LIMIT 1")
+def _(spark, base):
+    return E.queue_pop(editions(spark, base), NOW).select("arquivo", "data_publicacao", "tentativas")
+
+
+@_query("queue_backoff", "SELECT arquivo, CAST(least(360, 5 * pow(2, least(tentativas - 1, 6))) AS INTEGER) AS minutos FROM edicoes")
+def _(spark, base):
+    return editions(spark, base).select("arquivo", E.backoff_minutes(F.col("tentativas")).alias("minutos"))
+
+
+@_query("pending_probe", "SELECT uf, estado, count(*) AS edicoes, count(*) FILTER (WHERE arquivo NOT IN (SELECT arquivo_markdown FROM doeg_2026)) AS sem_atos FROM edicoes GROUP BY ALL")
+def _(spark, base):
+    return E.pending(editions(spark, base), acts(spark, base))
+
+
+@_query("missing_days", """WITH d AS (SELECT DISTINCT try_cast(data_publicacao AS DATE) AS dia FROM edicoes), r AS (SELECT CAST(unnest(generate_series(min(dia), max(dia), INTERVAL 1 DAY)) AS DATE) AS dia FROM d)
+ SELECT dia FROM r WHERE isodow(dia) < 6 AND dia NOT IN (SELECT dia FROM d WHERE dia IS NOT NULL)""")
+def _(spark, base):
+    rows = editions(spark, base).select(F.expr("try_to_date(data_publicacao, 'yyyy-MM-dd')").alias("data"))
+    return E.missing_days(rows, "data")
+
+
+@_query("latest_by_source", "SELECT uf, min(data_publicacao) AS primeira, max(data_publicacao) AS ultima FROM edicoes GROUP BY 1")
+def _(spark, base):
+    return editions(spark, base).groupBy("uf").agg(F.min("data_publicacao").alias("primeira"), F.max("data_publicacao").alias("ultima"))
+
+
+@_query("failures_by_step", "SELECT etapa, count(*) AS falhas, count(DISTINCT url) AS urls, max(registrado_em) AS ultima FROM falhas GROUP BY 1")
+def _(spark, base):
+    return table(spark, base, "falhas").groupBy("etapa").agg(F.count("*").alias("falhas"), F.count_distinct("url").alias("urls"), F.max("registrado_em").alias("ultima"))
+
+
+@_query("date_range_complement", "SELECT linha_csv FROM doeg_2026 WHERE NOT (try_cast(data_publicacao AS DATE) >= DATE '2026-03-01' AND try_cast(data_publicacao AS DATE) <= DATE '2026-09-30')")
+def _(spark, base):
+    rows = acts(spark, base).select("linha_csv", F.expr("try_to_date(data_publicacao, 'yyyy-MM-dd')").alias("d"))
+    return rows.where(L.in_range(F.col("d"), "2026-03-01", "2026-09-30", outside=True)).select("linha_csv")
+
+
+@_query("coalesce_year", "SELECT coalesce(ano, CAST(year(data_movimentacao) AS INTEGER)) AS ano, count(*) AS atos FROM movimentacoes GROUP BY 1")
+def _(spark, base):
+    return mov(spark, base).groupBy(F.coalesce("ano", F.year("data_movimentacao")).alias("ano")).agg(F.count("*").alias("atos"))
+
+
+@_query("period_label", "WITH y AS (SELECT list_sort(list(DISTINCT ano) FILTER (WHERE ano IS NOT NULL)) AS y FROM movimentacoes) SELECT CASE WHEN len(y) = 0 THEN 'sem período' WHEN len(y) = 1 THEN CAST(y[1] AS VARCHAR) WHEN y[-1] - y[1] + 1 = len(y) THEN y[1] || '-' || y[-1] ELSE array_to_string(y, ', ') END AS periodo FROM y")
+def _(spark, base):
+    return A.period_label(mov(spark, base))
+
+
+@_query("complete_columns", "SELECT linha_csv, coalesce(nome, '') AS nome, '' AS coluna_nova FROM doeg_2026")
+def _(spark, base):
+    return acts(spark, base).select("linha_csv", F.coalesce("nome", F.lit("")).alias("nome")).withColumn("coluna_nova", F.lit(""))
+
+
+@_query("top_representatives", f"SELECT * FROM (SELECT *, nomeacao - exoneracao AS saldo, nomeacao + exoneracao AS atos FROM (SELECT representante_governo, {_BAL} FROM movimentacoes GROUP BY 1)) ORDER BY atos DESC, representante_governo LIMIT 5")
+def _(spark, base):
+    return A.balance(mov(spark, base), "representante_governo").orderBy(F.desc("atos"), "representante_governo").limit(5)
+
+
+@_query("extract_acts")
+def _(spark, base):
+    return X.extract_acts(acts(spark, base).select(F.col("linha_csv").alias("doc_id"), "estado", F.col("trecho").alias("text")))
+
+
+@_query("page_text")
+def _(spark, base):
+    return table(spark, base, "documents").select("doc_id", X.unescape_html(F.col("text")).alias("texto"))
