@@ -49,4 +49,25 @@ QUERIES = {
     "p10_found": lambda spark, base: reading_level.levelled(table(spark, base, "documents"), table(spark, base, "niveis_rotulados")).select("doc_id", "nivel"),
 }
 
-ORACLES: dict[str, str] = {}
+_LABELS = "|".join(format_copies.FIELD_LABELS)
+
+
+def _sql_stripped(c: str) -> str:
+    return rf"regexp_replace(lower(upper(coalesce({c}, ''))), '[^\p{{L}}\p{{N}}]+', '', 'g')"
+
+
+_SQL_FIELDS = rf"""CASE WHEN regexp_matches(upper(trecho), '^[^\p{{L}}\p{{N}}]*(?:{_LABELS})[\s\p{{Z}}]*[:=\-–—]')
+ THEN array_to_string(list_sort(list_filter(list_transform(string_split(regexp_replace(upper(trecho), '(^|[^\p{{L}}\p{{N}}])({_LABELS})([^\p{{L}}\p{{N}}]|$)', '\1' || chr(1) || '\2\3', 'g'), chr(1)),
+ lambda x: regexp_replace(lower(x), '[^\p{{L}}\p{{N}}]+', '', 'g')), lambda x: x <> '')), chr(1)) ELSE {_sql_stripped('trecho')} END"""
+_SQL_SPLIT = ", ".join(f"'{f}'" for f in survivors.FIELDS)
+
+ORACLES: dict[str, str] = {
+    "p2_found": f"""WITH m AS (SELECT DISTINCT grupo_id, linha_csv FROM grupos_duplicados),
+ v AS (SELECT grupo_id, linha_csv, campo, CASE campo WHEN 'nome' THEN nome WHEN 'id_funcional' THEN id_funcional ELSE orgao END AS valor, nome_parse_confiavel AS flag, data_publicacao AS dia
+  FROM m JOIN doeg_2026 USING (linha_csv), (SELECT unnest([{_SQL_SPLIT}]) AS campo)),
+ g AS (SELECT grupo_id, campo, valor, max({{'s': (valor <> '' AND flag = 'sim')::INT, 'n': length(valor), 'd': dia}}) AS r, min(linha_csv) AS linha_csv FROM v GROUP BY 1, 2, 3)
+ SELECT grupo_id, campo, arg_max(linha_csv, r) AS linha_csv FROM g GROUP BY 1, 2 HAVING count(*) > 1""",
+    "p3_found": f"""WITH k AS (SELECT linha_csv, md5(concat_ws(chr(2), estado, municipio, diario, data_publicacao, caderno, tipo_ato, id_funcional, assinante, cargo_assinante, categoria_assinante, governador_edicao,
+  representante_governo, origem_representante, spacy_pessoa, spacy_entidades, nome_parse_confiavel, fonte_url, arquivo_markdown, {_sql_stripped('nome')}, {_sql_stripped('cargo')}, {_sql_stripped('orgao')}, {_SQL_FIELDS})) AS k FROM doeg_2026),
+ f AS (SELECT k, min(linha_csv) AS linha_a FROM k GROUP BY 1) SELECT linha_a, linha_csv AS linha_b FROM k JOIN f USING (k) WHERE linha_csv <> linha_a""",
+}
