@@ -5,12 +5,29 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this package, once for each application: they may not have it on their path."""
+    context = spark.sparkContext
+    if getattr(context, "_actaflow_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="actaflow-code-")) / "actaflow.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(str(target))
+    context._actaflow_shipped = True
+
+
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """The Parquet table ``name`` below the folder ``base``."""
+    ship_code(spark)
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
