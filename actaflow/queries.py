@@ -11,6 +11,7 @@ from actaflow.operators import analytics as A
 from actaflow.operators import consolidate as C
 from actaflow.operators import dedup as D
 from actaflow.operators import editions as E
+from actaflow.operators import repair as R
 from actaflow.operators import timeline as L
 from actaflow.plans import extract as X
 from actaflow.runtime import table
@@ -484,6 +485,40 @@ def _(spark, base):
     return A.balance(mov(spark, base), "representante_governo").orderBy(F.desc("atos"), "representante_governo").limit(5)
 
 
+_ORPHAN = "(length(trim(orgao)) < 10 OR regexp_matches(lower(trim(orgao)), ' d[ao]$'))"
+
+
+@_query("repaired_agencies", f"""WITH d AS (SELECT arquivo_markdown, tipo_ato, nome, min_by(orgao, linha_csv) AS s FROM doeg_2026 WHERE NOT {_ORPHAN} AND nome <> '' GROUP BY ALL)
+ SELECT linha_csv, CASE WHEN {_ORPHAN} THEN coalesce(s, orgao) ELSE orgao END AS orgao FROM doeg_2026 LEFT JOIN d USING (arquivo_markdown, tipo_ato, nome)""")
+def _(spark, base):
+    return R.repaired_agencies(acts(spark, base))
+
+
+@_query("role_text", """WITH r AS (SELECT linha_csv, cargo, trim(regexp_replace(cargo, '(?i)^(?:para exercer )?(?:[oa] )?(?:cargo(?: em comiss[aã]o)?|fun[cç][aã]o(?: gratificada)?) d[eoa] ', '')) AS b FROM doeg_2026) SELECT linha_csv, CASE WHEN length(b) > 2 THEN b ELSE cargo END AS cargo FROM r""")
+def _(spark, base):
+    return acts(spark, base).select("linha_csv", R.role_text(F.col("cargo")).alias("cargo"))
+
+
+@_query("run_counters", f"{_BASE} SELECT count(*) AS atos, count(DISTINCT nome_normalizado) AS pessoas, count(*) FILTER (WHERE retorno) AS retornos, count(*) FILTER (WHERE regexp_matches(lower(trim(cargo_assinante)), '^(?:sub)?secret.rio')) AS atos_secretaria FROM timeline")
+def _(spark, base):
+    return R.run_counters(act_timeline(spark, base))
+
+
+@_query("round_robin", "SELECT arquivo, uf, CAST(row_number() OVER (PARTITION BY uf ORDER BY data_publicacao DESC, arquivo) AS INTEGER) AS rodada FROM edicoes")
+def _(spark, base):
+    return R.round_robin(editions(spark, base))
+
+
+@_query("edition_governor")
+def _(spark, base):
+    return R.edition_governor(table(spark, base, "documents"), [n for n in S.ORIGINS])
+
+
+@_query("thousands", "SELECT uf, replace(format('{:,}', count(*)), ',', '.') AS edicoes FROM edicoes GROUP BY 1")
+def _(spark, base):
+    return editions(spark, base).groupBy("uf").agg(R.thousands(F.count("*")).alias("edicoes"))
+
+
 @_query("extract_acts")
 def _(spark, base):
     return X.extract_acts(acts(spark, base).select(F.col("linha_csv").alias("doc_id"), "estado", F.col("trecho").alias("text")))

@@ -10,6 +10,7 @@ from actaflow.operators import analytics as A
 from actaflow.operators import consolidate as C
 from actaflow.operators import dedup as D
 from actaflow.operators import editions as E
+from actaflow.operators import repair as R
 from actaflow.operators import timeline as L
 from actaflow.plans import extract as X
 from actaflow.sources import lake
@@ -131,3 +132,17 @@ def test_ingestion_in_two_steps_equals_one(spark, tmp_path):
 def test_partitioned_write(spark, tmp_path):
     C.write_partitioned(spark.createDataFrame([("GO", 1), ("RJ", 2)], "estado string, x int"), str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).where("estado = 'GO'").first().x == 1
+
+
+def test_governor_of_an_edition(spark):
+    texts = [("a", "Ana de Souza Lima\nGovernador em exercício"), ("b", "Assinado: Rui Barros Reis,\nGovernador do Estado"), ("c", "saiu com Paulo Melo ontem"), ("d", None)]
+    got = dict(values(R.edition_governor(spark.createDataFrame(texts, "path string, text string"), ["Sergio Cabral", "Paulo Melo"])))
+    assert got == {"a": "Ana de Souza Lima - Governador em exercicio", "b": "Rui Barros Reis - Governador", "c": "Paulo Melo - Governador", "d": "Nao identificado"}
+
+
+def test_pdf_payload(spark):
+    import base64
+
+    rows = [(base64.b64encode(b"junk%PDF-1.4 x\xff %%EOF tail").decode(),), (base64.b64encode(b"none").decode(),), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "p string").select(R.pdf_payload(F.col("p"))).collect()]
+    assert [bytes(x) if x is not None else None for x in got] == [b"%PDF-1.4 x\xff %%EOF", None, None]
