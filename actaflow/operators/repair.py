@@ -44,16 +44,17 @@ def round_robin(queue: DataFrame) -> DataFrame:
     return queue.selectExpr("arquivo", "uf", "row_number() OVER (PARTITION BY uf ORDER BY data_publicacao DESC, arquivo) AS rodada")
 
 
-def edition_governor(docs: DataFrame, known: list[str], head: int = 20_000) -> DataFrame:
-    """``path, governador``: who governs by a document's text, computed once for each document.
+def edition_governor(docs: DataFrame, known: list[str]) -> DataFrame:
+    """``path, governador``: who governs by a document's whole text, computed once for each document.
 
     An acting phrase goes first, then a signature line with the title, then the first known name (a
     parameter list, tested in its order); otherwise the sentinel.
     """
     name = r"([A-ZÁÉÍÓÚÂÊÔÃÕÇ][\wÀ-ÿ]+(?: (?:d[aeo]s? )?[A-ZÁÉÍÓÚÂÊÔÃÕÇ][\wÀ-ÿ]+){1,6})"
-    text = F.substring(F.coalesce("text", F.lit("")), 1, head)
-    acting = F.nullif(F.regexp_extract(text, rf"(?U){name}\s*[,\n]?\s*(?i:governador em exerc[ií]cio)", 1), F.lit(""))
-    signed = F.nullif(F.regexp_extract(text, rf"(?U){name}\s*[,\n]\s*(?i:governador(?: do estado)?)\b", 1), F.lit(""))
+    text = F.coalesce("text", F.lit(""))
+    # Blanks are taken possessively: a long run of them costs its length, not its square.
+    acting = F.nullif(F.regexp_extract(text, rf"(?U){name}\s*+(?:,\s*+)?(?i:governador em exerc[ií]cio)", 1), F.lit(""))
+    signed = F.nullif(F.regexp_extract(text, rf"(?U){name}(?:\s*+,|[^\S\n]*+\n)\s*+(?i:governador(?: do estado)?)\b", 1), F.lit(""))
     listed = F.lit(None).cast("string")
     for person in reversed(known):
         listed = F.when(F.contains(text, F.lit(person)), F.lit(person)).otherwise(listed)

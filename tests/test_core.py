@@ -140,6 +140,13 @@ def test_governor_of_an_edition(spark):
     assert got == {"a": "Ana de Souza Lima - Governador em exercicio", "b": "Rui Barros Reis - Governador", "c": "Paulo Melo - Governador", "d": "Nao identificado"}
 
 
+def test_governor_is_found_anywhere_in_the_text(spark):
+    far = "o texto segue \n" * 20_000
+    texts = [("a", far + "Ana de Souza Lima \n \n Governador em exercício" + far), ("b", far + "Rui Barros Reis , \n Governador do Estado"), ("c", far + "com Paulo Melo"), ("d", "Rui Barros Reis" + " " * 200_000 + "secretário")]
+    got = dict(values(R.edition_governor(spark.createDataFrame(texts, "path string, text string"), ["Sergio Cabral", "Paulo Melo"])))
+    assert got == {"a": "Ana de Souza Lima - Governador em exercicio", "b": "Rui Barros Reis - Governador", "c": "Paulo Melo - Governador", "d": "Nao identificado"}
+
+
 def test_pdf_payload(spark):
     import base64
 
