@@ -122,6 +122,15 @@ def test_truncation(spark, acts):
     assert rows(truncation.truncated(df.limit(0))) == []
 
 
+def test_values_often_cut_at_one_place(spark, acts):
+    whole, short = "Secretaria de Estado de Agricultura Familiar", "Secretaria de Estado de Agricultura Fami"
+    values = [whole] * 60 + [short] * 90 + [whole + "e"] + [whole + ", em Quati"] * 5
+    df = acts(*[{"orgao": v, "fonte_url": f"https://{'b' if v == short else 'a'}.example/1"} for v in values])
+    assert rows(truncation.truncated(df)) == [(i, "orgao") for i in range(61, 151)]
+    rates = {(r.fonte, r.campo): (r.valores, r.cortados) for r in truncation.truncation_rates(df).collect()}
+    assert rates["b.example", "orgao"] == (90, 90) and rates["a.example", "orgao"] == (66, 0)
+
+
 def test_gram_hashes_agree_with_substrings():
     import numpy as np
 
