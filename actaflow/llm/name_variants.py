@@ -167,6 +167,27 @@ def _score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b.loc[b["posterior"].notna(), ["campo", "forma", "c_forma", "posterior"]]
 
 
+def roots(link: DataFrame) -> DataFrame:
+    """``campo, forma, raiz``: the end of each form's chain of parents (``campo, forma, pai, n``).
+
+    Forms that are each other's parents, directly or in a ring, share their most frequent one. Steps
+    are doubled until every chain has ended and no ring is longer than the step.
+    """
+    own = F.col("pai") == F.col("forma")
+    link = cut(link.select("campo", "forma", F.col("pai").alias("salto"), own.alias("fim"), F.struct("n", "forma").alias("melhor")), "chains")
+    ends = link.select("campo", "forma", F.col("fim").alias("_fim"))
+    step, before = 1, -1
+    while True:
+        open_ends = link.select("campo", F.col("salto").alias("forma")).distinct().join(ends.where("not _fim"), ["campo", "forma"]).count()
+        if not open_ends or (open_ends == before and step >= open_ends):
+            break
+        before, step = open_ends, step * 2
+        up = link.select("campo", F.col("forma").alias("salto"), F.col("salto").alias("_salto"), F.col("melhor").alias("_melhor"))
+        link = cut(link.join(up, ["campo", "salto"]).select("campo", "forma", F.col("_salto").alias("salto"), F.greatest("melhor", "_melhor").alias("melhor")), "chains")
+    landed = link.select("campo", F.col("forma").alias("salto"), F.col("melhor.forma").alias("_ring")).join(ends.withColumnRenamed("forma", "salto"), ["campo", "salto"])
+    return link.join(landed, ["campo", "salto"]).select("campo", "forma", F.when(F.col("_fim"), F.col("salto")).otherwise(F.col("_ring")).alias("raiz"))
+
+
 def entities(acts: DataFrame, fields: tuple[str, ...] = ("nome", "assinante")) -> DataFrame:
     """``campo, grafia, n, entidade`` for each spelling; ``entidade`` is the canonical form's words.
 
@@ -200,10 +221,7 @@ def entities(acts: DataFrame, fields: tuple[str, ...] = ("nome", "assinante")) -
     scored = meet.select("campo", "forma", "ordem", "c_forma", "c_ordem", "c_n").mapInPandas(_score, "campo string, forma string, c_forma string, posterior double")
     best = scored.groupBy("campo", "forma").agg(F.max_by("c_forma", F.struct("posterior", "c_forma")).alias("pai"))
     link = cut(form.select("campo", "forma").join(best, ["campo", "forma"], "left").withColumn("pai", F.coalesce("pai", "forma")), "links")
-    for _ in range(3):  # chains are short: each step goes to a longer or more frequent form
-        up = link.select("campo", F.col("forma").alias("pai"), F.col("pai").alias("avo"))
-        link = link.join(up, ["campo", "pai"]).select("campo", "forma", F.col("avo").alias("pai"))
-    return written.join(link, ["campo", "forma"]).select("campo", "grafia", "n", F.col("pai").alias("entidade"))
+    return written.join(roots(link.join(form.select("campo", "forma", "n"), ["campo", "forma"])), ["campo", "forma"]).select("campo", "grafia", "n", F.col("raiz").alias("entidade"))
 
 
 def variant_pairs(acts: DataFrame) -> DataFrame:

@@ -110,6 +110,19 @@ def test_name_variants(spark, acts):
     assert rows(name_variants.variant_pairs(acts().limit(0))) == []
 
 
+def test_parents_in_rings_and_long_chains(spark):
+    parents = {"A": "B", "B": "A", "C": "A", "D": "E", "E": "F", "F": "D", **{f"x{i}": f"x{min(i + 1, 20)}" for i in range(21)}}
+    df = spark.createDataFrame([("nome", f, p, 9 if f in "AE" else 1) for f, p in parents.items()], "campo string, forma string, pai string, n bigint")
+    got = {r.forma: r.raiz for r in name_variants.roots(df).collect()}
+    assert got == {"A": "A", "B": "A", "C": "A", "D": "E", "E": "E", "F": "E", **{f"x{i}": "x20" for i in range(21)}}
+
+
+def test_doubled_letter_in_a_surname(spark, acts):
+    names = ["TEREZA DEDAPEL QUADUMAR"] * 12 + ["TEREZA DEDAPEEL QUADUMAR"] * 3
+    got = {r.grafia: r.entidade for r in name_variants.entities(acts(*[{"nome": n} for n in names])).collect()}
+    assert len(got) == 2 and len(set(got.values())) == 1
+
+
 # ---- problem 5
 
 
