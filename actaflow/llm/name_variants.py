@@ -5,12 +5,13 @@ much more frequent one is read as that one. Spellings with the same words (in an
 aside) are one form. Frequent full forms are candidates for the rest: a form with initials,
 abbreviations, nicknames or a dropped middle name is attached to the candidate with the largest
 posterior, prior (how often the candidate was written) times channel (how likely each word was
-written that way). Candidates meet forms through pairs of their words, never all against all.
+written that way). Candidates meet forms through keys that every pair the channel accepts shares.
 Suffixes (Filho, Júnior, Neto) and differing given names keep relatives apart.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import unicodedata
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from actaflow.llm.canonical_list import near
 from actaflow.llm.encoding_repair import repair
-from actaflow.runtime import cut
+from actaflow.runtime import cut, spread
 
 PARTICLES = ("DE", "DA", "DO", "DAS", "DOS", "E")
 SUFFIXES = ("FILHO", "FILHA", "JUNIOR", "NETO", "NETA", "SOBRINHO", "SEGUNDO")
@@ -160,6 +161,61 @@ def channel(form: list[str], full: list[str]) -> float | None:
     return score
 
 
+def _slips(word: str) -> list[str]:
+    """Strings that a word shares with any that is one slip away, if the slip changes its first three letters."""
+    return [f"t{word[2:]}", f"t{word[3:]}", f"s{''.join(sorted(word[:4]))}{word[4:]}"] if len(word) >= 4 else []
+
+
+def _begin(words: list[str], letters: int) -> str:
+    return " ".join(sorted(w[:letters] for w in words))
+
+
+def probe_keys(form: list[str]) -> set[str]:
+    """Keys of a form; a candidate that ``channel`` accepts has one of them among its ``offer_keys``.
+
+    All that ``channel`` lets a word stand for begins with its first three letters, or with its one
+    letter, except nicknames, which are replaced, and slips in these letters, which leave the rest.
+    """
+    tail = "/" + " ".join(w for w in form if w in SUFFIXES)
+    options = [[[w]] + [[t] for t in NICKNAMES.get(w, ())] + ([list(w)] if 2 <= len(w) <= 3 and not set(w) & set("AEIOUY") else []) for w in form if w not in SUFFIXES]
+    keys = set()
+    for choice in itertools.product(*options):
+        words = [w for part in choice for w in part]
+        short = any(len(w) == 1 for w in words)
+        if not short:
+            keys.add(f"3|{_begin(words, 3)}{tail}")
+        for i, w in enumerate(words):
+            rest = words[:i] + words[i + 1 :]
+            if short:
+                keys.add(f"1|{w}|{_begin(rest, 1)}{tail}")
+            keys.update(f"{1 if short else 3}|{x}|{_begin(rest, 1 if short else 3)}{tail}" for x in map("~".__add__, _slips(w)))
+    return keys
+
+
+def offer_keys(full: list[str]) -> set[str]:
+    """Keys of a candidate, with all its words and without each middle word."""
+    tail = "/" + " ".join(w for w in full if w in SUFFIXES)
+    full = [w for w in full if w not in SUFFIXES]
+    keys = set()
+    for words in [full, *(full[:i] + full[i + 1 :] for i in range(1, len(full) - 1))]:
+        keys.add(f"3|{_begin(words, 3)}{tail}")
+        for i, w in enumerate(words):
+            rest = words[:i] + words[i + 1 :]
+            keys.add(f"1|{w}|{_begin(rest, 1)}{tail}")
+            keys.update(f"{n}|~{x}|{_begin(rest, n)}{tail}" for x in _slips(w) for n in (1, 3))
+    return keys
+
+
+def _keys(of, name: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            b["chave"] = [list(of(list(w))) for w in b["ordem"]]
+            out = b[["campo", "forma", "n", "letras", "palavras", "chave"]].explode("chave").dropna()
+            yield out.rename(columns={"forma": name})
+
+    return run
+
+
 def _score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         got = [channel(list(f), list(c)) for f, c in zip(b["ordem"], b["c_ordem"], strict=True)]
@@ -197,27 +253,17 @@ def entities(acts: DataFrame, fields: tuple[str, ...] = ("nome", "assinante")) -
     rows = cut(spellings(acts, fields), "spellings")
     written = cut(forms(rows), "forms")
     form = written.groupBy("campo", "forma").agg(F.sum("n").alias("n"), F.max_by("ordem", F.struct("n", "grafia")).alias("ordem"))
-    freq = form.select("campo", F.explode(F.array_distinct("ordem")).alias("w")).groupBy("campo", "w").agg(F.count("*").alias("df"))
-    # Words that may serve as keys, rarest first.
-    keyable = form.select("campo", "forma", "n", "ordem", F.explode(F.array_distinct("ordem")).alias("w")).where(
-        (F.length("w") >= 3) & ~F.col("w").isin(*SUFFIXES, *NICKNAMES))
-    keyable = keyable.join(freq, ["campo", "w"]).groupBy("campo", "forma", "n", "ordem").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("k"))
-    keyable = cut(keyable.withColumn("k", F.transform("k", lambda x: x["w"])), "keys")
-
-    def pairs_of(words, most):
-        some = F.slice(words, 1, most)
-        return F.array_distinct(F.flatten(F.transform(some, lambda a, i: F.transform(F.filter(some, lambda b, j: j > i), lambda b: F.concat_ws(" ", F.array_sort(F.array(a, b)))))))
-
-    def initials(order, words):
-        return F.transform(words, lambda w: F.concat_ws("|", w, F.concat_ws("", F.array_sort(F.transform(F.filter(order, lambda x: x != w), lambda x: F.substring(x, 1, 1))))))
-
-    probe = keyable.select("campo", "forma", "n", "ordem", F.explode(F.concat(pairs_of(F.col("k"), 3), F.when(F.size("k") == 1, initials(F.col("ordem"), F.col("k"))).otherwise(F.array()))).alias("key"))
-    offer = keyable.select("campo", F.col("forma").alias("c_forma"), F.col("n").alias("c_n"), F.col("ordem").alias("c_ordem"), F.explode(F.concat(pairs_of(F.col("k"), 8), initials(F.col("ordem"), F.col("k")))).alias("key"))
-    meet = probe.join(offer, ["campo", "key"]).where("forma <> c_forma")
-    letters = lambda c: F.length(F.concat_ws("", c))
+    form = cut(form, "form")
+    sized = spread(form.withColumn("letras", F.length(F.concat_ws("", "ordem"))).withColumn("palavras", F.size("ordem")))
+    kept = "n bigint, letras int, palavras int, chave string"
+    probe = sized.mapInPandas(_keys(probe_keys, "forma"), f"campo string, forma string, {kept}").withColumn("chave", F.xxhash64("campo", "chave"))
+    offer = sized.mapInPandas(_keys(offer_keys, "c_forma"), f"campo string, c_forma string, {kept}").withColumn("chave", F.xxhash64("campo", "chave"))
+    offer = offer.select("campo", "c_forma", "chave", F.col("n").alias("c_n"), F.col("letras").alias("c_letras"), F.col("palavras").alias("c_palavras"))
+    meet = probe.join(offer, ["campo", "chave"]).where("forma <> c_forma")
     # A form attaches only to one with more letters, or to a more frequent one with as many.
-    ahead = (letters(F.col("c_ordem")) > letters(F.col("ordem"))) | ((letters(F.col("c_ordem")) >= letters(F.col("ordem")) - 1) & (F.col("c_n") > 2 * F.col("n")) & (F.size("c_ordem") == F.size("ordem")))
-    meet = meet.where(ahead & (F.size("c_ordem") >= F.size("ordem") - 1)).dropDuplicates(["campo", "forma", "c_forma"])
+    ahead = (F.col("c_letras") > F.col("letras")) | ((F.col("c_letras") >= F.col("letras") - 1) & (F.col("c_n") > 2 * F.col("n")) & (F.col("c_palavras") == F.col("palavras")))
+    meet = meet.where(ahead & (F.col("c_palavras") >= F.col("palavras") - 1)).select("campo", "forma", "c_forma", "c_n").distinct()
+    meet = meet.join(form.select("campo", "forma", "ordem"), ["campo", "forma"]).join(form.select("campo", F.col("forma").alias("c_forma"), F.col("ordem").alias("c_ordem")), ["campo", "c_forma"])
     scored = meet.select("campo", "forma", "ordem", "c_forma", "c_ordem", "c_n").mapInPandas(_score, "campo string, forma string, c_forma string, posterior double")
     best = scored.groupBy("campo", "forma").agg(F.max_by("c_forma", F.struct("posterior", "c_forma")).alias("pai"))
     link = cut(form.select("campo", "forma").join(best, ["campo", "forma"], "left").withColumn("pai", F.coalesce("pai", "forma")), "links")

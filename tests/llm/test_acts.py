@@ -110,6 +110,24 @@ def test_name_variants(spark, acts):
     assert rows(name_variants.variant_pairs(acts().limit(0))) == []
 
 
+def test_every_accepted_pair_of_forms_meets(spark, base):
+    pairs = [("ZE SILVA", "JOSE SILVA"), ("ANA DROBAPLE", "ANA DROBAPEL"), ("ANA RDOBAPEL", "ANA DROBAPEL"), ("ANA DRBOAPEL", "ANA DROBAPEL"), ("ANA XROBAPEL", "ANA DROBAPEL"), ("ANA ROBAPEL", "ANA DROBAPEL"), ("ANA DDROBAPEL", "ANA DROBAPEL"),
+             ("CONC DROBAPEL", "CONCEICAO DROBAPEL"), ("JP SILVA", "JOAO PEDRO SILVA"), ("A DROBAPEL", "ANA MARIA DROBAPEL"), ("ZE SLIVA LIMA FILHO", "JOSE SILVA ROSA LIMA FILHO"), ("F P SOUZA", "FLAVIO PEDRO SOUZA")]
+    for a, b in pairs:
+        met = bool(name_variants.probe_keys(a.split()) & name_variants.offer_keys(b.split()))
+        assert met or name_variants.channel(a.split(), b.split()) is None, (a, b)
+    written = name_variants.forms(name_variants.spellings(table(spark, base, "doeg_2026"), ("nome", "assinante")))
+    words = [(list(r.ordem), name_variants.probe_keys(r.ordem), name_variants.offer_keys(r.ordem)) for r in written.select("ordem").distinct().collect()]
+    lost = [(f, c) for f, probes, _ in words for c, _, offers in words if not probes & offers and set(f) & set(c) and name_variants.channel(f, c) is not None]
+    assert lost == []
+
+
+def test_nickname_and_one_surname(spark, acts):
+    names = ["JOSE SOLVURDIM"] * 5 + ["ZE SOLVURDIM", "ANA DROBAPEL", "ANA DROBAPEL", "ANA DROBAPEL", "ANA XROBAPEL"]
+    got = {r.grafia: r.entidade for r in name_variants.entities(acts(*[{"nome": n} for n in names])).collect()}
+    assert got["ZE SOLVURDIM"] == got["JOSE SOLVURDIM"] and got["ANA XROBAPEL"] == got["ANA DROBAPEL"] and len(set(got.values())) == 2
+
+
 def test_parents_in_rings_and_long_chains(spark):
     parents = {"A": "B", "B": "A", "C": "A", "D": "E", "E": "F", "F": "D", **{f"x{i}": f"x{min(i + 1, 20)}" for i in range(21)}}
     df = spark.createDataFrame([("nome", f, p, 9 if f in "AE" else 1) for f, p in parents.items()], "campo string, forma string, pai string, n bigint")
