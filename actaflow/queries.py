@@ -520,6 +520,11 @@ def _(spark, base):
 
 
 @_query("extract_acts")
+def _(spark, base):
+    return X.extract_acts(table(spark, base, "documents"))
+
+
+@_query("extract_excerpts")
 def _(spark, base):
     return X.extract_acts(acts(spark, base).select(F.col("linha_csv").alias("doc_id"), "estado", F.col("trecho").alias("text")))
 

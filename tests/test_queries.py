@@ -48,3 +48,10 @@ def test_query_equals_sql(spark, duck, base, name):
 def test_query_runs(spark, base, name):
     assert QUERIES[name](spark, base).columns
     QUERIES[name](spark, base).count()
+
+
+def test_acts_are_extracted_from_documents(spark, tmp_path):
+    text = "ATOS DO GOVERNADOR\n" + "Texto sem ato algum.\n" * 100 + "NOMEAR ANA DE SOUZA LIMA para o cargo de Assessor.\nEXONERAR JOAO PAULO REIS do cargo de Chefe."
+    spark.createDataFrame([(1, "GO", text), (2, "GO", None)], "doc_id bigint, estado string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted((r.doc_id, r.tipo_ato, r.nome, r.cargo_assinante.upper()) for r in QUERIES["extract_acts"](spark, str(tmp_path)).collect())
+    assert got == [(1, "exoneracao", "JOAO PAULO REIS", "GOVERNADOR"), (1, "nomeacao", "ANA DE SOUZA LIMA", "GOVERNADOR")]
