@@ -97,7 +97,9 @@ def acts_of(text: str, state: str) -> list[dict[str, str]]:
         names = [n for n in names if valid_name(n)][: None if PROFILES.get(state, Profile()).multiple else 1]
         signed = list(_SIGNED.finditer(body))
         before = [r for p, r in marks if p <= m.start()]
-        role = signed[-1].group("role") if signed else before[-1] if before else ""
+        ahead = next((r for p, r in marks if p > m.start()), "")
+        ahead = ahead if re.match("Governador", ahead, re.I) else ""  # only a governor's heading counts backwards
+        role = signed[-1].group("role") if signed else before[-1] if before else ahead
         for name in names:
             key = (m.group("action"), name, body[:180])
             if key in seen:

@@ -147,6 +147,14 @@ def test_governor_is_found_anywhere_in_the_text(spark):
     assert got == {"a": "Ana de Souza Lima - Governador em exercicio", "b": "Rui Barros Reis - Governador", "c": "Paulo Melo - Governador", "d": "Nao identificado"}
 
 
+def test_acts_ahead_of_the_first_heading():
+    from actaflow.plans.extract import acts_of
+
+    act = "NOMEAR ANA DE SOUZA LIMA para o cargo de Assessor. RESOLVE "
+    assert [a["cargo_assinante"] for a in acts_of(act + "ATOS DO Governador em exercício " + act.replace("ANA", "EVA"), "GO")] == ["Governador em exercício"] * 2
+    assert [a["cargo_assinante"] for a in acts_of(act + "ATOS DO Secretário " + act.replace("ANA", "EVA"), "GO")] == ["", "Secretário"]
+
+
 def test_pdf_payload(spark):
     import base64
 
