@@ -1,32 +1,41 @@
 """Problem 7: text decoded with the wrong character encoding.
 
-A test in the JVM sends on only values that hold a character or sequence correct
-Portuguese text doesn't have. For those, characters are mapped back to the bytes of each legacy
-encoding, a byte-structure automaton finds the maximal well-formed multi-byte UTF-8 spans, and only
-these spans are decoded (again, while spans remain: text may have been garbled twice). Single-byte
-mix-ups have no byte structure; there a word is read in the other code page if that turns all its
-characters into Portuguese ones. Lost characters (U+FFFD, ``?`` inside words) are flagged.
+A test in the JVM sends on only values that hold a character or sequence most Portuguese text doesn't
+have. For those, characters are mapped back to the bytes of each legacy encoding, a byte-structure
+automaton finds the maximal well-formed multi-byte UTF-8 spans, and only these spans are decoded
+(again, while spans remain: text may have been garbled several times).
+
+Single-byte mix-ups have no byte structure. There a word is read in the other code page, if that turns
+it into a word of Portuguese letters and there is evidence for the damage: the word can't have been
+written so (letters of two scripts, signs between letters, a letter of the wrong case), or the corpus
+holds the other reading at least ``RATIO`` times as often. A word that is merely foreign (``Köln``,
+``MUÑOZ``) stays as it is and isn't flagged. Lost characters (U+FFFD, ``?`` inside words) are flagged.
 """
 
 from __future__ import annotations
 
-import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+import regex as re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from actaflow.runtime import cut, ship_code
+
 LETTERS = "ÀÁÂÃÇÉÊÍÓÔÕÚÜàáâãçéêíóôõúü"
 SIGNS = "ªº°§–—“”‘’½¼¾·•…\u00a0"
 #: Characters that correct text may hold.
 ALLOWED = "".join(map(chr, (9, 10, 12, 13, *range(32, 127), *range(0x300, 0x370), 0xAC, 0xAD))) + LETTERS + SIGNS
-#: Sequences of such characters that correct text lacks (Java syntax). The lookahead passes over most positions at once.
+#: Sequences of such characters that need a closer look (Java syntax). The lookahead passes over most positions at once.
 SEQUENCES = (
-    r"(?=[ÃÂ\u00ac\u00ad…?Ç§õéàâ“”\u00a0])(?:[ÃÂ][\u0080-\u00bf–—“”‘’…]|[\u00ac\u00ad](?![\r\n])|…(?=[^\r\n]*[\p{L}\d])"
-    r"|\?\p{L}|(?<![\p{L}\p{N})\]”’\"])\?|(?<=\b[nN])\? ?\d|(?<=[A-Z])Ç[OE]|(?<=[nN])§|õ \d|(?<=\p{Lu}{2})[éàâ]|[éàâ]\p{Lu}{2}"
-    r"|(?<=\p{L})[“”]\p{L}|(?<=\p{Ll})\u00a0\p{Ll}|(?<=\b\p{L}{1,3})\? \p{Ll})"
+    r"(?=[ÃÂ\u00ac\u00ad…?Ç§õéàâ“”\u00a0])(?:[ÃÂ][\u0080-¿–—“”‘’…]|[\u00ac\u00ad](?![\r\n])|…(?=[^\r\n]*[\p{L}\d])"
+    r"|\?\p{L}|(?<![\p{L}\p{N})\]”’\"])\?|(?<=\b[nN])\? ?\d|(?<=[A-Z])Ç(?:[OE]|\P{L}|$)|(?<=[nN])§|õ \d|(?<=\p{Lu}{2})[éàâ]|[éàâ]\p{Lu}{2}"
+    r"|(?<=\p{L})[“”]\p{L}|(?<=\p{L})\u00a0[\p{Ll} ,.;]|(?<= )\u00a0\p{Ll}|(?<=\b\p{L}{1,3})\? \p{Ll})"
 )
+#: How many times as often as the written word the corpus must hold its other reading.
+RATIO = 2
 
 
 def suspect(column: Column) -> Column:
@@ -34,9 +43,8 @@ def suspect(column: Column) -> Column:
     return (F.translate(column, ALLOWED, "") != "") | column.rlike(SEQUENCES)
 
 
-PLAUSIBLE = frozenset(LETTERS + SIGNS + "\u00ad")
-#: Words that truly end in -ÇO (upper case).
-TRUE_CO = frozenset("MARÇO SERVIÇO ESPAÇO BRAÇO PREÇO AÇO LAÇO TERÇO ALMOÇO ESFORÇO CALÇO PEDAÇO POÇO MOÇO SOLUÇO CANSAÇO ENDEREÇO COMEÇO REFORÇO BAGAÇO TRAÇO LENÇO AVANÇO BALANÇO".split())
+#: Characters a decoded span may give; the replacement character tells of a loss.
+PLAUSIBLE = frozenset(LETTERS + SIGNS + "\u00ad\ufffd")
 
 
 def _table(codec: str) -> dict[str, int]:
@@ -67,6 +75,9 @@ def _page(written: str, read: str) -> dict[int, str]:
 
 
 PAGE_MAPS = {p: _page(*p) for p in PAGES}
+_MARKS = frozenset("ªº")
+#: Signs that some page reads for a letter and that never stand between two letters of sound text.
+_STRANGE = frozenset(chr(k) for m in PAGE_MAPS.values() for k, v in m.items() if v in LETTERS + "ªº" and not chr(k).isalpha()) - frozenset("’‘–—…·•°§“”\u00a0\u00ad")
 
 
 def _need(byte: int) -> tuple[int, int, int]:
@@ -107,84 +118,188 @@ def decode_spans(text: str, codec: str) -> tuple[str, int]:
 
 
 _QUOTE_END = re.compile(r"[ÃÂ][“”‘’–—](?!\w)")
-_SPACE_IN_WORD = re.compile(r"(?<=[a-zà-ü])\u00a0(?=(?!d[aeo]s?\b|e\b)[a-zà-ü])")
-_WORD = re.compile(r"[^\s\u00a0(),;:/]+|(?<=\s)\u00a0(?=\s)")
-_LOST = re.compile(r"\ufffd|\?(?=[^\W\d_])|(?<![\w)\]”’\"?])\?|\b[nN]\?(?= ?\d)|\?{2,}(?=\w)|\b[^\W\d_]{1,3}\? (?=[a-zà-ü])")
-_HARD = re.compile(rf"[^\x00-\x7e{LETTERS}{SIGNS}\u0300-\u036f\u00ad\u00ac]")
-_MIXED = re.compile(r"(?<=[A-ZÀ-Ü])[éàâ](?=[A-ZÀ-Ü]|$)|^[éàâ](?=[A-ZÀ-Ü]{2})|[A-Z]{2}[éàâ]$")
-
-
-def _word_in_other_page(word: str, hint: str | None) -> tuple[str, str | None]:
-    """``word`` as another code page reads it, if only that makes it Portuguese."""
-    hard = bool(_HARD.search(word)) or any("\x80" <= c <= "\x9f" for c in word)
-    core = word.strip(".,;:!\"'“”")
-    cedilla = re.search(r"[A-ZÀ-Ü]Ç[OE]S?$", core) and core not in TRUE_CO and core.rstrip("S") not in TRUE_CO
-    mixed = bool(_MIXED.search(word))
-    if not (hard or mixed or cedilla or word in ("n§", "N§")):
-        return word, None
-    for page in ((hint,) if hint else ()) + PAGES:
-        new = word.translate(PAGE_MAPS[page])
-        if new != word and not _HARD.search(new) and not any("\x80" <= c <= "\x9f" for c in new) and not _MIXED.search(new):
-            letters = [c for c in new if c.isalpha() and c not in "ªº"]
-            same_case = not letters or new.isupper() or new.islower() or new.istitle() or new[:1].isupper() or "-" in new or not letters[0].isupper()
-            if same_case or hard:
-                return new, page
-    return word, None
-
-
-def repair(text: str, name: bool = False) -> tuple[str, bool]:
-    """The restored text and whether characters stay lost. A text without damage comes back as it is.
-
-    ``name``: the text is a name, in which quotes and question marks have no place.
-    """
-    now = text
-    for _ in range(4):
-        best, count = now, 0
+_FOREIGN = re.compile(rf"[^\x00-\x7e{LETTERS}{SIGNS}\u0300-\u036f\u00ad\u00ac]")
+
+
+def decoded(text: str, name: bool) -> str:
+    """``text`` with its multi-byte spans decoded until none is left; every round makes it shorter."""
+    while True:
+        best, count = text, 0
         for codec in CODECS:
-            new, k = decode_spans(now, codec)
+            new, k = decode_spans(text, codec)
             if k > count:
                 best, count = new, k
-        if not count or (count == 1 and not name and _QUOTE_END.search(now) and not _HARD.search(now) and now.count("“") >= now.count("”")):
-            break
-        now = best
-    if now == text or _HARD.search(now) or any("\x80" <= c <= "\x9f" for c in now):
-        page, out, last = None, [], 0
-        words = list(_WORD.finditer(now))
-        for m in words:  # the page most words agree on comes first
-            new, p = _word_in_other_page(m.group(), page)
-            page = p or page
-        for m in words:
-            new, _p = _word_in_other_page(m.group(), page)
-            out += [now[last : m.start()], new]
-            last = m.end()
-        now = "".join(out) + now[last:]
-        if page == ("cp850", "cp1252"):  # signs of this page that are ordinary signs elsewhere
-            now = re.sub(r"(?<=\b[nN])§|(?<=\d)§", "º", now)
-            now = re.sub(r"(?<=\s)…(?=\s)", "à", now)
-    if name or (now.count("\u00a0") == 1 and "\t" not in now and "  " not in now):
-        now = _SPACE_IN_WORD.sub("á", now)
-    now = re.sub(r"(?<=[^\W\d_])“(?=[a-zà-ü])", "ô", now)
-    lost = (name and "?" in now) or bool(_LOST.search(now)) or bool(_HARD.search(now)) or any("\x80" <= c <= "\x9f" for c in now)
-    return now, lost
-
-
-def _repair_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # One span that ends like a quotation in a text with an open quote is a quotation.
+        quotation = count == 1 and not name and _QUOTE_END.search(text) and not _FOREIGN.search(text) and text.count("“") >= text.count("”")
+        if not count or quotation:
+            return text
+        text = best
+
+
+_WORD = re.compile(r"[^\s\u00a0(),;:/.!?\"\-\[\]{}]+")
+_CEDILLA = re.compile(r"[A-ZÀ-Ü]Ç(?:[OE]S?)?$")
+#: What stands between words, for counting (Java syntax).
+_BETWEEN = r"[\s\u00a0(),;:/.!?\"\-\[\]{}“”‘’]+"
+_QUOTE_INSIDE = re.compile(r"(?<=\p{L})[“”](?=\p{Ll})")
+_CONNECTORS = frozenset("de da do des das dos e a o em na no nas nos".split())
+_LOST = re.compile(r"\ufffd|\?(?=[^\W\d_])|(?<![\w)\]”’\"?])\?|\b[nN]\?(?= ?\d)|\?{2,}(?=\w)|\b[^\W\d_]{1,3}\? (?=[a-zà-ü])")
+
+
+def _wrong_case(word: str) -> bool:
+    """Whether an accented letter has a case its neighbours rule out (``nÆo``, ``PéBLICA``)."""
+    for i, c in enumerate(word):
+        if c > "\x7f" and c.isalpha() and c not in _MARKS and (c.isupper() or c.islower()):
+            a, b = word[i - 1] if i else "", word[i + 1 : i + 2]
+            if c.isupper() and a.islower() and not b.isupper():
+                return True
+            if c.islower() and (a.isupper() and b.isupper() or not a.isalpha() and word[i + 1 : i + 3].isupper() and len(word) > i + 2 or not b.isalpha() and i > 1 and word[i - 2 : i].isupper()):
+                return True
+    return False
+
+
+def _two_scripts(word: str) -> bool:
+    other = any("\u0370" <= c <= "\u052f" for c in word)
+    return other and any(c.isalpha() and c < "\u0250" for c in word)
+
+
+def impossible(word: str) -> bool:
+    """Whether nobody writes a word so, whatever the language."""
+    if any("\x80" <= c <= "\x9f" for c in word) or _two_scripts(word) or _wrong_case(word) or word in ("n§", "N§"):
+        return True
+    return any(c in _STRANGE and (word[i - 1 : i].isalpha() or word[i - 1 : i] in _STRANGE) and (word[i + 1 : i + 2].isalpha() or word[i + 1 : i + 2] in _STRANGE) and i > 0 and i + 1 < len(word)
+               for i, c in enumerate(word))
+
+
+def odd(word: str) -> bool:
+    """Whether a word is worth a look in the other pages."""
+    return any(c.isalpha() for c in word) and bool(_FOREIGN.search(word) or _CEDILLA.search(word) or _QUOTE_INSIDE.search(word) or impossible(word))
+
+
+def reading(word: str, page: tuple[str, str], signs: bool = False) -> str | None:
+    """What another page makes of a word, if it is of Portuguese letters (or signs) and sound case."""
+    new = word.translate(PAGE_MAPS[page])
+    if new == word or _FOREIGN.search(new) or impossible(new):
+        return None
+    return new if signs or all(b.isalpha() or b == "§" for a, b in zip(word, new, strict=True) if a != b) else None
+
+
+def readings(word: str) -> dict[tuple[str, str], str]:
+    return {p: new for p in PAGES if (new := reading(word, p)) is not None}
+
+
+def _blanks(text: str) -> list[tuple[int, str, str]]:
+    """Fixed blanks that may be a letter of another page: place, words around as written and as read.
+
+    White space that varies at random (tabs, double blanks, fixed blanks elsewhere) holds no letters.
+    """
+    out: list[tuple[int, str, str]] = []
+    if "\u00a0" not in text or "\t" in text or "  " in text:
+        return out
+    for m in re.finditer("\u00a0", text):
+        a = b = m.start()
+        while a and text[a - 1].isalpha():
+            a -= 1
+        while b + 1 < len(text) and text[b + 1].isalpha():
+            b += 1
+        left, right = text[a : m.start()], text[m.start() + 1 : b + 1]
+        if not left and not (right and text[a - 1 : a] in (" ", "\n")):
+            return []
+        if right not in _CONNECTORS and not right[:1].isupper() and (right or text[b + 1 : b + 2] in tuple(" ,.;")):
+            out.append((m.start(), text[a : b + 1], left + "á" + right))
+    return out
+
+
+def questions(text: str, name: bool) -> list[tuple[str, str, int, bool]]:
+    """What the corpus is asked: word as written, another reading, rank of its page, whether the word is impossible."""
+    now = decoded(text, name)
+    out = [(w, new, PAGES.index(p), impossible(w)) for w in {m.group() for m in _WORD.finditer(now)} if odd(w) for p, new in readings(w).items()]
+    return out + [(a, b, 0, True) for a, b in {x[1:] for x in _blanks(now)}]
+
+
+def repair(text: str, name: bool = False, answers: dict[str, str] | None = None) -> tuple[str, bool, str]:
+    """The restored text, whether characters stay lost, and the way: ``bytes``, ``pagina``, ``perda`` or ``""``.
+
+    ``answers`` holds, for words the corpus knows, the reading to take (the word itself: leave it). A word
+    it doesn't know is changed only if it is impossible as written, or foreign in a text with such
+    words of the same page. ``name``: the text is a name, in which question marks have no place.
+    """
+    answers = answers or {}
+    now = decoded(text, name)
+    way = "bytes" if now != text else ""
+    words = [(m.start(), m.end(), m.group()) for m in _WORD.finditer(now)]
+    strange = {w: (impossible(w), readings(w)) for _, _, w in words if odd(w)}
+    votes = Counter(p for w, (hard, got) in strange.items() if hard or answers.get(w, w) != w for p, new in got.items() if answers.get(w, new) == new)
+    page = max(votes, key=lambda p: (votes[p], -PAGES.index(p))) if votes else None
+    out, last = [], 0
+    blanks = {at: around for at, around, new in _blanks(now) if answers.get(around) == new}
+    for a, b, w in words:
+        hard, got = strange.get(w, (False, {}))
+        new = answers.get(w) if got else None
+        if new is None and page and (_FOREIGN.search(w) or _QUOTE_INSIDE.search(w)):
+            new = reading(w, page, signs=True)
+        if new is None and hard and got:
+            new = next(iter(got.values()))
+        if new is not None:
+            out += [now[last:a], new]
+            last = b
+    read = "".join(out) + now[last:]
+    if blanks:  # readings keep the number of characters, so places stay
+        read = "".join("á" if i in blanks else c for i, c in enumerate(read))
+    if page == ("cp850", "cp1252"):  # signs of this page that are ordinary signs elsewhere
+        read = re.sub(r"(?<=\b[nN])§|(?<=\d)§", "º", read)
+        read = re.sub(r"(?<=\s)…(?=\s)", "à", read)
+        read = re.sub(r"(?<!\p{L})õ(?= \d)", "§", read)
+    if read != now:
+        way = way or "pagina"
+    lost = (name and "?" in read) or bool(_LOST.search(read)) or any(impossible(m.group()) for m in _WORD.finditer(read) if not m.group().isascii())
+    return read, lost, way or ("perda" if lost else "")
+
+
+def _ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        rows = [(k, *q) for k, v, c in zip(b["chave"], b["valor"], b["campo"], strict=True) for q in questions(v, c == "nome")]
+        yield pd.DataFrame(rows, columns=["chave", "escrita", "lida", "ordem", "dura"])
+
+
+def _answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        pairs = [repair(v, c == "nome") for v, c in zip(b["valor"], b["campo"], strict=True)]
-        b["restaurado"] = [p[0] for p in pairs]
-        b["perdido"] = [p[1] for p in pairs]
-        yield b[b["perdido"] | (b["restaurado"] != b["valor"])]
+        known = [{x["escrita"]: x["lida"] for x in a} if a is not None else {} for a in b["respostas"]]
+        got = [repair(v, c == "nome", a) for v, c, a in zip(b["valor"], b["campo"], known, strict=True)]
+        b["restaurado"], b["perdido"], b["via"] = [g[0] for g in got], [g[1] for g in got], [g[2] for g in got]
+        yield b.loc[b["perdido"] | (b["restaurado"] != b["valor"]), ["id", "campo", "valor", "restaurado", "perdido", "via"]]
+
+
+def accented_words(values: DataFrame) -> DataFrame:
+    """``palavra, n``: how often ``valor`` holds each word with Portuguese letters outside ASCII, in upper case."""
+    words = F.filter(F.split(F.upper("valor"), _BETWEEN), lambda w: (F.octet_length(w) > F.length(w)) & w.rlike(rf"^[A-Z{LETTERS}]+$"))
+    return values.select(F.explode(words).alias("palavra")).groupBy("palavra").agg(F.count("*").alias("n"))
+
+
+def restored(values: DataFrame) -> DataFrame:
+    """``id, campo, valor, restaurado, perdido, via`` of the garbled among ``values`` (``id, campo, valor``)."""
+    ship_code(values.sparkSession)
+    hit = values.where(suspect(F.col("valor")) | ((F.col("campo") == "nome") & F.col("valor").contains("?")))
+    hit = cut(hit.select("id", "campo", "valor", F.xxhash64("campo", "valor").alias("chave")), "suspects")
+    asked = cut(hit.mapInPandas(_ask, "chave bigint, escrita string, lida string, ordem int, dura boolean"), "questions")
+    pairs = asked.groupBy("escrita", "lida").agg(F.min("ordem").alias("ordem"), F.max("dura").alias("dura"), F.count("*").alias("ne"))
+    counts = accented_words(values).withColumnsRenamed({"palavra": "_l", "n": "nl"})
+    pairs = pairs.withColumn("_l", F.upper("lida")).join(counts, "_l", "left").na.fill(0, ["nl"])
+    best = pairs.groupBy("escrita").agg(F.max_by(F.struct("lida", "nl", "ne", "dura"), F.struct("nl", -F.col("ordem"), "lida")).alias("m")).select("escrita", "m.*")
+    sure = (F.col("nl") > 0) & (F.col("dura") | (F.col("nl") >= RATIO * F.col("ne")))
+    known = best.select("escrita", F.when(sure, F.col("lida")).when(~F.col("dura") & (F.col("ne") > 1) & F.col("escrita").rlike(r"^\p{L}+$"), F.col("escrita")).alias("lida")).where("lida is not null")
+    answers = asked.select("chave", "escrita").distinct().join(known, "escrita").groupBy("chave").agg(F.collect_list(F.struct("escrita", "lida")).alias("respostas"))
+    id_type = dict(hit.dtypes)["id"]
+    return hit.join(answers, "chave", "left").select("id", "campo", "valor", "respostas").mapInPandas(
+        _answer, f"id {id_type}, campo string, valor string, restaurado string, perdido boolean, via string")
 
 
 def garbled_values(df: DataFrame, columns: tuple[str, ...] = ("trecho", "nome"), id_col: str = "linha_csv") -> DataFrame:
-    """``id, campo, valor, restaurado, perdido`` for each value with garbled or lost characters.
+    """``id, campo, valor, restaurado, perdido, via`` for each value with garbled or lost characters.
 
     Null and empty values are never garbled; repeated ids give a row each; an empty table gives no
     rows; very long texts are read whole. ``perdido`` tells that the original can't be known fully.
+    ``via`` is ``bytes`` if the automaton decoded spans, ``pagina`` if only other pages explain the
+    damage, ``perda`` if nothing could be restored.
     """
     pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
-    long = df.selectExpr(f"`{id_col}` AS id", f"stack({len(columns)}, {pairs}) AS (campo, valor)")
-    hit = long.where(suspect(F.col("valor")) | ((F.col("campo") == "nome") & F.col("valor").contains("?")))
-    id_type = dict(hit.dtypes)["id"]
-    return hit.mapInPandas(_repair_batches, f"id {id_type}, campo string, valor string, restaurado string, perdido boolean")
-
+    return restored(df.selectExpr(f"`{id_col}` AS id", f"stack({len(columns)}, {pairs}) AS (campo, valor)"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from actaflow.llm.canonical_list import near
-from actaflow.llm.encoding_repair import repair
+from actaflow.llm.encoding_repair import restored
 from actaflow.runtime import cut, spread
 
 PARTICLES = ("DE", "DA", "DO", "DAS", "DOS", "E")
@@ -54,8 +54,6 @@ def spelling(text: str) -> str:
 
 def _spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        clean = [(lambda r: r[0] == v and not r[1])(repair(v, True)) for v in b["valor"]]
-        b = b[clean]
         yield pd.DataFrame({"campo": b["campo"], "grafia": [spelling(v) for v in b["valor"]], "n": b["n"]})
 
 
@@ -63,6 +61,9 @@ def spellings(acts: DataFrame, fields: tuple[str, ...]) -> DataFrame:
     """``campo, grafia, n`` for each distinct spelling that may be a name and isn't garbled."""
     pairs = ", ".join(f"'{f}', `{f}`" for f in fields)
     values = acts.selectExpr(f"stack({len(fields)}, {pairs}) AS (campo, valor)").where("trim(valor) <> ''").groupBy("campo", "valor").agg(F.count("*").alias("n"))
+    values = cut(values, "values")
+    garbled = restored(values.select("valor").distinct().select(F.lit(0).alias("id"), F.lit("nome").alias("campo"), "valor"))
+    values = values.join(garbled.select("valor"), "valor", "left_anti")
     rows = values.mapInPandas(_spell, "campo string, grafia string, n bigint").groupBy("campo", "grafia").agg(F.sum("n").alias("n"))
     words = F.split("grafia", " ")
     return rows.where((F.col("grafia") != "") & ~F.arrays_overlap(words, F.array(*[F.lit(w) for w in NO_NAME])))

@@ -211,17 +211,33 @@ def test_prefix_filter_loses_no_pair(spark, base):
 def test_utf8_read_in_a_legacy_page_comes_back(codec):
     text = "Fica nomeada a servidora Antônia José, função não é cumulável: após três mês, lá está"
     garbled = "".join(bytes([b]).decode(codec) if b < 128 or b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) or codec != "cp1252" else chr(b) for b in text.encode())
-    assert encoding_repair.repair(garbled) == (text, False)
+    assert encoding_repair.repair(garbled)[:2] == (text, False)
     mixed = text + " e " + garbled
-    assert encoding_repair.repair(mixed) == (text + " e " + text, False)
+    assert encoding_repair.repair(mixed)[:2] == (text + " e " + text, False)
+    nested = text
+    for _ in range(6):
+        nested = nested.encode().decode("latin-1")
+    assert encoding_repair.repair(nested)[0] == text
 
 
 def test_single_byte_pages_and_loss():
-    assert encoding_repair.repair("Conceiзгo Trovumйs", True) == ("Conceição Trovumés", False)
-    assert encoding_repair.repair("ROS¶NGELA INÒS", True) == ("ROSÂNGELA INÊS", False)
-    assert encoding_repair.repair("Jos? Lima", True)[1] and encoding_repair.repair("fun��o")[1]
-    for fine in ("Há impedimento? Não consta.", "modelo ‘A’ (§ 3º), ½ turno – ¼ a 25 °C", "FE­\nBIVEDO", "FAVURÃ-\nES", "LOTAÇ", "de 10 de abril\tde", "IRMÃ “X”"):
-        assert encoding_repair.repair(fine) == (fine, False)
+    assert encoding_repair.repair("Conceiзгo Trovumйs", True) == ("Conceição Trovumés", False, "pagina")
+    assert encoding_repair.repair("ROS¶NGELA INÒS", True) == ("ROSÂNGELA INÊS", False, "pagina")
+    assert encoding_repair.repair("Jos? Lima", True)[1:] == (True, "perda") and encoding_repair.repair("fun\ufffd\ufffdo")[1]
+
+
+@pytest.mark.parametrize("fine", [
+    "Há impedimento? Não consta.", "modelo ‘A’ (§ 3º), ½ turno – ¼ a 25 °C", "FE\u00ad\nBIVEDO", "FAVURÃ-\nES", "LOTAÇ", "de 10 de abril\tde", "IRMÃ “X”", "Compra de 10 € em Genève.",
+    "Universität Köln", "MUÑOZ PEÑA", "MÜLLER-SCHÖNE", "ŠIMIĆ", "«à la carte» por £ 5", "Smørrebrød, façade, naïf", "Москва e Αθήνα", "REFORÇO DO SERVIÇO", "D’ÁVILA… e outros", "texto\u00a0com\u00a0blanks"])
+def test_sound_text_stays(spark, acts, fine):
+    assert encoding_repair.repair(fine, fine.isupper()) == (fine, False, "")
+
+
+def test_foreign_words_need_the_corpus(spark, acts):
+    names = ["LÍVIA MUÑOZ PEÑA", "LÍVIA ROSA QUODIXÃO", "LÍVIA ROSA QUODIXÃO", "LÖVIA ROSA QUODIXÇO", "OTTO MÜLLER-SCHÖNE", "KÖLN ŠIMIĆ", "LUIZ SERVIÇO"]
+    texts = ["Está em vigor.", "O termo ser\u00a0 assinado por quem est\u00a0 no cargo.", "Compra de 10 € em Genève.", "Universität Köln.", "Isto está assim.", "x", "O SERVIÇO"]
+    got = {(r.id, r.campo): (r.restaurado, r.perdido, r.via) for r in encoding_repair.garbled_values(acts(*[{"nome": n, "trecho": t} for n, t in zip(names, texts, strict=True)])).collect()}
+    assert got == {(4, "nome"): ("LÍVIA ROSA QUODIXÃO", False, "pagina"), (2, "trecho"): ("O termo ser\u00a0 assinado por quem está no cargo.", False, "pagina")}
 
 
 def test_garbled_values(spark, acts):
