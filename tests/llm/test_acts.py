@@ -28,27 +28,65 @@ LONG = "Fica nomeada ANA LIMA para o cargo. " * 3000
 # ---- problem 1
 
 
+BODY = ("Processo nº 2026.{i}. NOMEAR ANA LIMA, matrícula {i}, para exercer o cargo de Assessor na Secretaria de Estado de Obras. O termo será assinado perante a chefia imediata, em duas vias. Vigência imediata.",
+        "Portaria nº {i}, de 3 de maio. EXONERAR, a pedido, RUI REIS do cargo de Coordenador.\nDê-se ciência e arquive-se.\nBarra do Quati, 3 de maio de 2026. Eva Prado\nDiretor-Geral",
+        "CARGO: Assessor | PROCESSO - {i} | MOTIVO : a pedido | SERVIDOR = RUI REIS.", "O edital saiu à página {i} da Gazeta Oficial nº 31{i}, caderno de concursos. Conforme a página {i} do processo, não há impedimento à posse.")
+
+
+def clean_acts(n):
+    return [{"trecho": BODY[i % 4].format(i=i + 100), "nome": "ANA LIMA"} for i in range(n)]
+
+
 def test_page_traces(spark, acts):
-    clean = "Processo nº 2026.1. NOMEAR ANA LIMA para exercer o cargo de Assessor. Vigência imediata."
-    df = acts(
-        {"trecho": clean}, {"trecho": clean.replace("exercer", "exer-\ncer")}, {"trecho": clean.replace("Assessor", "A s s e s s o r")}, {"trecho": clean.replace("para", "~ para")},
-        {"trecho": clean.replace("cargo", "c@rgo")}, {"trecho": clean.replace(" exercer", "\n## Pagina 12\nexercer")}, {"trecho": clean.replace("para", "Pág. 3/40 para")},
-        {"trecho": None}, {"trecho": ""}, {"trecho": LONG}, {"trecho": clean.replace(" ", "\n")}, {"trecho": "CARGO : Assessor | Motivo : a pedido | PROCESSO - 1."})
-    assert [r[0] for r in rows(page_noise.scanned(df))] == [2, 3, 4, 5, 6, 7]
-    fixed = dict(rows(page_noise.repaired(df)))
-    assert all(fixed[i] == clean for i in (1, 2, 3, 4, 6, 7)) and fixed[8] is None and fixed[9] == "" and fixed[10] == LONG
+    clean = BODY[0].format(i=7)
+    cases = [clean, clean.replace("exercer", "exer-\ncer"), clean.replace("Assessor", "A s s e s s o r"), clean.replace("para", "~ para"), clean.replace("cargo", "c@rgo"), clean.replace(" exercer", "\n## Pagina 12\nexercer"),
+             clean.replace("para", "Pág. 3/40 para"), clean.replace("assinado", "assi- nado"), None, "", LONG, clean.replace(" ", "\n")]
+    df = acts(*clean_acts(300), *[{"trecho": t} for t in cases])
+    assert [r[0] - 300 for r in rows(page_noise.scanned(df))] == [2, 3, 4, 5, 6, 7, 8]
+    fixed = {i - 300: t for i, t in rows(page_noise.repaired(df)) if i > 300}
+    assert all(fixed[i] == clean for i in (1, 2, 3, 4, 5, 6, 7, 8)) and fixed[9] is None and fixed[10] == "" and fixed[11] == LONG
     assert rows(page_noise.scanned(df.limit(0))) == []
 
 
 def test_words_are_judged_by_counts(spark, acts):
     good = [{"trecho": f"NOMEAR para a Secretaria de Estado {i}."} for i in range(200)]
     df = acts(*good, {"trecho": "NOMEAR para a Sccretaria de Estado."}, {"trecho": "NOMEAR para a Secretariade Estado."}, {"trecho": "NOMEAR para a Sccretaria.", "orgao": "Sccretaria"})
-    assert [(r[0], r[2]) for r in rows(page_noise.word_findings(df).select("linha_csv", "palavra", "certa"))] == [(201, "secretaria"), (202, "secretaria de")]
-
-
-def test_line_labels():
-    pieces = page_noise.line_pieces("começo da frase\n\x0c12   Gazeta Oficial\nque continua aqui-\nfim dela.")
-    assert page_noise.label_lines(pieces) == ["body", "header", "break", "body"]
+    assert [(r[0], r[1]) for r in rows(page_noise.evidence(df)[0].select("linha_csv", "certa"))] == [(201, "secretaria"), (202, "secretaria de")]
+
+
+def test_labels_decide(spark, acts, monkeypatch):
+    df = acts(*clean_acts(100), {"trecho": BODY[0].replace("cargo", "c@r-\ngo")})
+    assert rows(page_noise.scanned(df)) == [(101,)]
+    blind = page_noise.Labeller()
+    blind.weight = {"any": [0.0, 1.0, 0.0, 0.0]}  # everything is body
+    monkeypatch.setattr(page_noise, "fitted", lambda *_: blind)
+    assert rows(page_noise.scanned(df)) == []
+
+
+def test_recall_on_planted_damage(spark, base):
+    """Excerpts the model wasn't fitted on, with damage planted by the same templates of heads and glyphs: labels by line."""
+    import random
+
+    df = table(spark, base, "doeg_2026")
+    words, masks, counts = page_noise.evidence(df)
+    model, known = page_noise.fitted(df, words, counts), {r.palavra: r.n for r in counts.collect()}
+    damaged = {r.linha_csv for r in page_noise._labels(words, masks, model).collect()}
+    rng, hit, false, n = random.Random(99), 0, 0, 0
+    for r in table(spark, base.replace("sf0.001", "sf0.01"), "doeg_2026").where("linha_csv % 10 = 3").collect():
+        made, labels, seen = page_noise.plant(r.trecho, rng, known)
+        if set(labels) == {"body"}:
+            continue
+        got = model.best([page_noise.names_of(m, w) for m, w in zip(page_noise.features(made), page_noise.words_in(made, seen), strict=True)])
+        n, hit = n + 1, hit + any(x != "body" for x in got)
+        false += sum(a != b for a, b in zip(got, labels, strict=True)) / len(labels)
+    assert hit / n > 0.95 and false / n < 0.1 and len(damaged) < 0.1 * df.count()
+
+
+def test_line_labels(spark, base):
+    df = table(spark, base, "doeg_2026")
+    words, _, counts = page_noise.evidence(df)
+    text = "Fica nomeada a servidora para o cargo vago nesta data\n\x0c12   Jornal Oficial\nque continua aqui com o texto da portaria e depois aca-\nba no fim dela."
+    assert page_noise.fitted(df, words, counts).best([page_noise.names_of(m, []) for m in page_noise.features(text)]) == ["body", "header", "break", "body"]
 
 
 # ---- problem 2
