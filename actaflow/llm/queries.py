@@ -56,7 +56,7 @@ def _sql_stripped(c: str) -> str:
     return rf"regexp_replace(lower(upper(coalesce({c}, ''))), '[^\p{{L}}\p{{N}}]+', '', 'g')"
 
 
-_SQL_FIELDS = rf"""CASE WHEN regexp_matches(upper(trecho), '^[^\p{{L}}\p{{N}}]*(?:{_LABELS})[\s\p{{Z}}]*[:=\-–—]')
+_SQL_FIELDS = rf"""CASE WHEN regexp_matches(upper(trecho), '^[^\p{{L}}\p{{N}}]*(?:{_LABELS})[^\p{{L}}\p{{N}}]')
  THEN array_to_string(list_sort(list_filter(list_transform(string_split(regexp_replace(upper(trecho), '(^|[^\p{{L}}\p{{N}}])({_LABELS})([^\p{{L}}\p{{N}}]|$)', '\1' || chr(1) || '\2\3', 'g'), chr(1)),
  lambda x: regexp_replace(lower(x), '[^\p{{L}}\p{{N}}]+', '', 'g')), lambda x: x <> '')), chr(1)) ELSE {_sql_stripped('trecho')} END"""
 _SQL_SPLIT = ", ".join(f"'{f}'" for f in survivors.FIELDS)
