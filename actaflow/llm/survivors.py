@@ -1,10 +1,14 @@
 """Problem 2: the best field values of each group of duplicate records.
 
-The fields are unpivoted to long rows. Each normalised value collects votes (trust of the row times
-a decay with age); max_by over (trusted and non-empty, length, date, votes) picks the winner of every
-field, and the winners are pivoted back. Trust, then length, then date are the declared preferences;
-votes settle what these leave open, the smallest row id what votes leave open. Everything is hash
-aggregation with partial results before the shuffle, so no group is ever held by one task.
+The fields are unpivoted to long rows. Each normalised value collects votes (trust of the row times a
+decay with age); max_by picks the winner of every field, and the winners are pivoted back. For fields
+with declared preferences (trusted and non-empty, then length, then date) these come first and votes
+settle what they leave open; for other fields votes alone decide between normalised values. The
+smallest row id settles the rest.
+
+All rows meet in one hash aggregation over numbers (the declared rank is packed into one bigint);
+values, of which there are fewer, go through aggregations with partial results before the shuffle, so
+no group is ever held by one task.
 """
 
 from __future__ import annotations
@@ -12,11 +16,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
 FIELDS = ("nome", "id_funcional", "orgao")
 #: Trust of a row by its flag; other flags and nulls count as ``nao``.
 TRUST = {"sim": 1.0, "indisponivel": 0.5, "nao": 0.25}
 HALF_LIFE_DAYS = 180.0
+#: Days before this one count less than 1, later ones more; only ratios of votes matter.
+REFERENCE_DAY = "2020-01-01"
 
 
 def field_votes(groups: DataFrame, acts: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
@@ -30,26 +35,26 @@ def field_votes(groups: DataFrame, acts: DataFrame, fields: tuple[str, ...] = FI
     pairs = ", ".join(f"'{f}', coalesce(`{f}`, '')" for f in fields)
     long = members.join(rows, "linha_csv").selectExpr(
         "grupo_id", "linha_csv", "lower(trim(coalesce(nome_parse_confiavel, 'nao'))) AS trust",
-        "coalesce(data_publicacao, '') AS day", f"stack({len(fields)}, {pairs}) AS (campo, valor)",
-    )
+        f"coalesce(datediff(try_to_date(data_publicacao, 'yyyy-MM-dd'), date'{REFERENCE_DAY}'), -1000000) AS day", f"stack({len(fields)}, {pairs}) AS (campo, valor)")
     weight = F.lit(TRUST["nao"])
     for name, w in TRUST.items():
         weight = F.when(F.col("trust") == name, F.lit(w)).otherwise(weight)
-    age = F.coalesce(F.datediff(F.expr("try_to_date(day, 'yyyy-MM-dd')"), F.lit("2000-01-01").cast("date")), F.lit(0))
-    long = long.withColumn("w", weight * F.pow(F.lit(2.0), age / HALF_LIFE_DAYS / 10))
+    long = long.withColumn("w", weight * F.pow(F.lit(2.0), F.least(F.greatest(F.col("day"), F.lit(-100_000)) / HALF_LIFE_DAYS, F.lit(900.0))))
     long = long.withColumn("norm", F.upper(F.regexp_replace(F.trim("valor"), r"\s+", " ")))
-    long = long.withColumn("sure", ((F.col("valor") != "") & (F.col("trust") == "sim")).cast("int"))
-    value = long.groupBy("grupo_id", "campo", "norm", "valor").agg(
-        F.max(F.struct("sure", F.length("valor").alias("len"), "day")).alias("rank"),
-        F.sum("w").alias("w"), F.min("linha_csv").alias("linha_csv"),
-    )
+    sure = ((F.col("valor") != "") & (F.col("trust") == "sim")).cast("bigint")
+    rank = F.shiftleft(sure, 60) + F.shiftleft(F.length("valor").cast("bigint"), 24) + (F.col("day") + 1_000_000)
+    value = long.groupBy("grupo_id", "campo", "norm", "valor").agg(F.max(rank).alias("rank"), F.sum("w").alias("w"), F.min("linha_csv").alias("linha_csv"))
     best = F.max_by(F.struct("valor", "rank", "linha_csv"), F.struct("rank", -F.col("linha_csv")))
     return value.groupBy("grupo_id", "campo", "norm").agg(best.alias("melhor"), F.sum("w").alias("votos"), F.count("*").alias("grafias"))
 
 
-def winners(votes: DataFrame) -> DataFrame:
-    """Winning value of each group and field, and in how many values the members differ."""
-    order = F.struct("melhor.rank", F.round("votos", 6), -F.col("melhor.linha_csv"))
+def winners(votes: DataFrame, declared: bool = True) -> DataFrame:
+    """Winning value of each group and field, and in how many values the members differ.
+
+    ``declared``: trust, length and date come before votes; otherwise votes come first.
+    """
+    cast = F.round(F.log2("votos"), 6)  # sums of the same votes in another order come out equal
+    order = F.struct("melhor.rank", cast, -F.col("melhor.linha_csv")) if declared else F.struct(cast, "melhor.rank", -F.col("melhor.linha_csv"))
     won = votes.groupBy("grupo_id", "campo").agg(F.max_by("melhor", order).alias("m"), F.sum("grafias").alias("valores"))
     return won.select("grupo_id", "campo", "m.valor", "m.linha_csv", "valores")
 
@@ -63,3 +68,8 @@ def surviving_records(groups: DataFrame, acts: DataFrame, fields: tuple[str, ...
 def contested_fields(groups: DataFrame, acts: DataFrame) -> DataFrame:
     """``grupo_id, campo, linha_csv`` for fields whose members don't all agree."""
     return winners(field_votes(groups, acts)).where("valores > 1").select("grupo_id", "campo", "linha_csv")
+
+
+def voted_fields(groups: DataFrame, acts: DataFrame, fields: tuple[str, ...] = ("cargo", "assinante", "cargo_assinante")) -> DataFrame:
+    """``grupo_id, campo, valor, linha_csv`` of fields without declared preferences: votes choose."""
+    return winners(field_votes(groups, acts, fields), declared=False).select("grupo_id", "campo", "valor", "linha_csv")

@@ -104,6 +104,15 @@ def test_survivors(spark, acts):
     assert rows(survivors.contested_fields(groups.limit(0), df)) == []
 
 
+def test_unreadable_dates_are_oldest_and_votes_choose(spark, acts):
+    old = {"nome": "EVA LIMA", "nome_parse_confiavel": "sim", "data_publicacao": "31/12/2025", "cargo": "Chefe"}
+    df = acts(old, {**old, "nome": "ANA LIMA", "data_publicacao": "2026-05-01", "cargo": "Diretor"}, {**old, "cargo": "chefe", "data_publicacao": "2026-04-30"}, {**old, "cargo": "Chefe", "data_publicacao": "2024-05-01"})
+    groups = spark.createDataFrame([(7, 1), (7, 2), (8, 2), (8, 3), (8, 4), (9, 2), (9, 4)], "grupo_id bigint, linha_csv bigint")
+    assert [r for r in rows(survivors.contested_fields(groups, df)) if r[0] == 7] == [(7, "nome", 2)]
+    # Two votes of which one is as new beat one; one vote four half-lives older loses.
+    assert [r[2] for r in rows(survivors.voted_fields(groups, df)) if r[1] == "cargo"] == ["Diretor", "chefe", "Diretor"]
+
+
 # ---- problem 3
 
 
