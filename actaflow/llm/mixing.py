@@ -6,94 +6,100 @@ when each is used as often as allowed; what a node can't take goes to its siblin
 to the parent's siblings. Each leaf fills its budget with whole epochs and a token-prefix of one more,
 in an order seeded for the epoch.
 
-The tree has one leaf for each weighted source and language, sums of which are collected; documents
-never are. Prefixes come from two levels of running sums (hash buckets, then the one bucket in which
-the budget ends), so a source with a third of all documents is never ordered by one task.
+The tree has one leaf for each weighted source and language and stays a table: every level is shared out
+by one window over siblings, so no number of sources is too many. Prefixes come from running sums over
+1024 hash buckets; the bucket in which a budget ends is split again until it holds few documents, so a
+source with a third of all documents is never ordered by one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from actaflow.llm.bpe import VOCABULARY, token_counts
 from actaflow.runtime import cut
 
-BUCKETS = 1024
-MAX_LEAVES = 100_000
+#: Bits of the hash that each round of the prefix search looks at, and documents that may be ordered at the end.
+STEP_BITS, FEW = 10, 10_000
 
 
-def fill(weights: list[float], room: list[float], budget: float) -> list[float]:
-    """Share ``budget`` by weight; what exceeds a room goes to the others, by weight, while any has room."""
-    out, open_ = [0.0] * len(weights), [i for i, r in enumerate(room) if r > 0 and weights[i] > 0]
-    left = min(budget, sum(room[i] for i in open_))
-    while open_ and left > 1e-9:
-        total = sum(weights[i] for i in open_)
-        full = [i for i in open_ if out[i] + left * weights[i] / total >= room[i] - 1e-9]
-        if not full:
-            for i in open_:
-                out[i] += left * weights[i] / total
-            break
-        for i in full:
-            left -= room[i] - out[i]
-            out[i] = room[i]
-            open_.remove(i)
-    return out
-
-
-def leaf_budgets(leaves: list[dict], budget: float) -> dict[tuple, float]:
-    """Tokens for each leaf (``domain, lang, source, weight, room``), level by level."""
-
-    def down(nodes: list[dict], keys: tuple[str, ...], amount: float) -> dict[tuple, float]:
-        if not keys:
-            got = fill([n["weight"] for n in nodes], [n["room"] for n in nodes], amount)
-            return {(n["source"], n["lang"]): g for n, g in zip(nodes, got, strict=True)}
-        groups: dict = {}
-        for n in nodes:
-            groups.setdefault(n[keys[0]], []).append(n)
-        names = sorted(groups)
-        got = fill([sum(n["weight"] for n in groups[g]) for g in names], [sum(n["room"] for n in groups[g]) for g in names], amount)
-        out: dict = {}
-        for g, a in zip(names, got, strict=True):
-            out |= down(groups[g], keys[1:], a)
-        return out
-
-    return down(sorted(leaves, key=lambda n: (n["source"], n["lang"])), ("domain", "lang"), budget)
-
-
-def leaves_of(sized: DataFrame, weights: DataFrame) -> list[dict]:
+def fill(nodes: DataFrame, parent: tuple[str, ...], name: str) -> DataFrame:
+    """``nodes`` with ``amount``: each parent's ``budget`` shared by ``weight``, nobody above ``room``.
+
+    What exceeds a room goes to the siblings, by weight, while any has room. Sorted by room for weight, the
+    nodes before some point are full and all others get the same amount for their weight.
+    """
+    ok = (F.col("weight") > 0) & (F.col("room") > 0)
+    ratio = F.when(ok, F.col("room") / F.col("weight"))
+    group = Window.partitionBy(*parent) if parent else Window.partitionBy(F.lit(0))
+    before = group.orderBy(ratio.asc_nulls_last(), name).rowsBetween(Window.unboundedPreceding, -1)
+    less = lambda c: F.coalesce(F.sum(F.when(ok, F.col(c))).over(before), F.lit(0.0))
+    open_weight = F.sum(F.when(ok, F.col("weight"))).over(group) - less("weight")
+    rows = nodes.withColumn("_rate", F.when(ok, F.try_divide(F.col("budget") - less("room"), open_weight))).withColumn("_ratio", ratio)
+    rate = F.max(F.when(F.col("_rate") <= F.col("_ratio"), F.col("_rate"))).over(group)
+    rows = rows.withColumn("_rate", rate)
+    return rows.withColumn("amount", F.when(ok, F.coalesce(F.least("room", F.col("_rate") * F.col("weight")), "room")).otherwise(0.0)).drop("_rate", "_ratio")
+
+
+def leaf_budgets(leaves: DataFrame, budget: Column) -> DataFrame:
+    """``leaves`` (``domain, lang, source, weight, room``) with ``amount``: the budget brought down level by level."""
+    up = [F.sum("weight").alias("weight"), F.sum("room").alias("room")]
+    domains = fill(leaves.groupBy("domain").agg(*up).withColumn("budget", budget), (), "domain").select("domain", F.col("amount").alias("budget"))
+    langs = fill(leaves.groupBy("domain", "lang").agg(*up).join(domains, "domain"), ("domain",), "lang").select("domain", "lang", F.col("amount").alias("budget"))
+    return fill(leaves.join(langs, ["domain", "lang"]), ("domain", "lang"), "source").drop("budget")
+
+
+def leaves_of(sized: DataFrame, weights: DataFrame) -> DataFrame:
     """The tree's leaves. A source's weight goes to its languages by their tokens."""
     sums = sized.groupBy("source", "lang").agg(F.sum("tokens").alias("tokens"))
-    rows = weights.select("source", "peso_alvo", "max_repeticoes").join(sums, "source", "left").limit(MAX_LEAVES + 1).collect()
-    if len(rows) > MAX_LEAVES:
-        raise ValueError(f"more than {MAX_LEAVES} pairs of weighted source and language")
-    whole: dict[str, int] = {}
-    for r in rows:
-        whole[r.source] = whole.get(r.source, 0) + (r.tokens or 0)
-    return [{
-        "domain": r.source.split("_")[0], "lang": r.lang or "", "source": r.source, "tokens": r.tokens or 0,
-        "weight": float(r.peso_alvo or 0) * ((r.tokens or 0) / whole[r.source] if whole[r.source] else 1.0),
-        "room": float((r.tokens or 0) * max(r.max_repeticoes or 0, 0)), "times": max(r.max_repeticoes or 0, 0),
-    } for r in rows if r.source is not None]
-
-
-def largest_budget(leaves: list[dict]) -> float:
-    """The largest total at which no source that has documents falls short of its share."""
-    have = [n for n in leaves if n["room"] > 0 and n["weight"] > 0]
-    if not have:
+    whole = sums.groupBy("source").agg(F.sum("tokens").alias("whole"))
+    rows = weights.join(sums, "source", "left").join(whole, "source", "left")
+    tokens, times = F.coalesce("tokens", F.lit(0)), F.greatest(F.coalesce("max_repeticoes", F.lit(0)), F.lit(0))
+    share = F.coalesce(F.col("tokens") / F.col("whole"), F.lit(1.0))
+    return rows.select(F.substring_index("source", "_", 1).alias("domain"), F.coalesce("lang", F.lit("")).alias("lang"), "source", tokens.alias("tokens"),
+                       (F.coalesce("peso_alvo", F.lit(0.0)) * share).alias("weight"), (tokens * times).cast("double").alias("room"), times.alias("times"))
+
+
+def largest_budget(leaves: DataFrame) -> float:
+    """The largest total at which no source that has documents falls short of its share (one number)."""
+    have = leaves.where("room > 0 and weight > 0")
+    least = have.agg(F.min("room")).first()[0]
+    if least is None:
         return 0.0
-    small = leaf_budgets(leaves, 1.0 if len(have) == 1 else min(n["room"] for n in have) / 10)
-    total = sum(small.values())
-    source: dict[str, list[float]] = {}
-    for n in have:
-        s = source.setdefault(n["source"], [0.0, 0.0])
-        s[0] += small[n["source"], n["lang"]]
-        s[1] += n["room"]
-    return min(room / (part / total) for part, room in source.values() if part > 0)
+    small = leaf_budgets(leaves, F.lit(least / 10)).where("room > 0 and weight > 0")
+    total = small.agg(F.sum("amount")).first()[0] or 0.0
+    source = small.groupBy("source").agg(F.sum("amount").alias("part"), F.sum("room").alias("room")).where("part > 0")
+    return source.agg(F.min(F.col("room") * F.lit(total) / F.col("part"))).first()[0] or 0.0
+
+
+def prefixes(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows`` with ``extra``: 1 for the documents of each leaf, in order of ``h``, that its ``rest`` tokens reach.
+
+    The document on the edge is used if more than half of it lies inside.
+    """
+    leaf = ["source", "lang"]
+    edges, bits = plan.where("rest > 0").select(*leaf, "rest", F.lit(0).cast("bigint").alias("prefix"), F.lit(0).cast("bigint").alias("before")), 0
+    top = lambda n: F.shiftrightunsigned("h", 64 - n) if n else F.lit(0).cast("bigint")
+    while True:
+        inside = rows.join(edges.drop("rest"), leaf).where(top(bits) == F.col("prefix"))
+        sums = inside.groupBy(*leaf, "rest", "prefix", "before", top(bits + STEP_BITS).alias("bucket")).agg(F.sum("tokens").alias("s"), F.count("*").alias("n"))
+        start = F.col("before") + F.coalesce(F.sum("s").over(Window.partitionBy(*leaf).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        last = sums.withColumn("start", start).where("start < rest").groupBy(*leaf, "rest").agg(F.max_by(F.struct("bucket", "start", "n"), "bucket").alias("m"))
+        edges = cut(last.select(*leaf, "rest", F.col("m.bucket").alias("prefix"), F.col("m.start").alias("before"), F.col("m.n").alias("n")), "edges")
+        bits += STEP_BITS
+        if (edges.agg(F.max("n")).first()[0] or 0) <= FEW or bits + STEP_BITS > 60:
+            break
+    placed = rows.join(edges.select(*leaf, "prefix", "before"), leaf, "left")
+    on_edge = F.coalesce(top(bits) == F.col("prefix"), F.lit(False))
+    clear = placed.where(~on_edge).withColumn("extra", F.coalesce((top(bits) < F.col("prefix")).cast("int"), F.lit(0)))
+    running = F.sum("tokens").over(Window.partitionBy(*leaf).orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    edge = placed.where(on_edge).withColumn("extra", ((F.col("before") + running - F.col("tokens") / 2) <= F.col("rest")).cast("int"))
+    return clear.unionByName(edge).drop("prefix", "before")
 
 
-def mixture(docs: DataFrame, weights: DataFrame, total: float | None = None, seed: int = 0, path: str = VOCABULARY) -> tuple[DataFrame, list[dict], dict]:
-    """``doc_id, source, lang, tokens, usos`` of the documents in the mix; its leaves and their budgets.
+def mixture(docs: DataFrame, weights: DataFrame, total: float | None = None, seed: int = 0, path: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, source, lang, tokens, usos`` of the documents in the mix; its leaves with their budgets (``amount``).
 
     ``total`` tokens are wanted; by default as many as all shares allow. Null, empty and wordless texts
     have no tokens and are never used, nor are documents without source or weight. Repeated weights of a
@@ -104,30 +110,15 @@ def mixture(docs: DataFrame, weights: DataFrame, total: float | None = None, see
     own = own.join(weights.select("source"), "source", "left_semi")
     counts = token_counts(own.withColumn("_key", F.struct("doc_id", "source", "lang")), "_key", "text", path)
     sized = cut(counts.select("_key.*", "tokens").where("tokens > 0"), "sized")
-    leaves = leaves_of(sized, weights)
-    budgets = leaf_budgets(leaves, largest_budget(leaves) if total is None else float(total))
-    plan = []
-    for n in leaves:
-        b = budgets.get((n["source"], n["lang"]), 0.0)
-        if n["tokens"] and b > 0:
-            epochs = min(int((b + 1e-6) // n["tokens"]), n["times"])
-            plan.append((n["source"], n["lang"], epochs, int(b - epochs * n["tokens"] + 0.5) if epochs < n["times"] else 0))
-    spark = docs.sparkSession
-    planned = F.broadcast(spark.createDataFrame(plan, "source string, lang string, epochs int, rest bigint"))
-    order = F.xxhash64(F.lit(seed), F.col("epochs"), F.col("doc_id"))
-    rows = sized.join(planned, ["source", "lang"]).withColumn("h", order).withColumn("bucket", F.shiftrightunsigned("h", 54))
-    sums = rows.where("rest > 0").groupBy("source", "lang", "bucket").agg(F.sum("tokens").alias("s"))
-    before = F.sum("s").over(Window.partitionBy("source", "lang").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    sums = sums.select("source", "lang", "bucket", F.coalesce(before, F.lit(0)).alias("before"), "s")
-    rows = rows.join(sums, ["source", "lang", "bucket"], "left")
-    inside = F.col("before") + F.col("s") <= F.col("rest")
-    edge = (F.col("rest") > 0) & (F.col("before") < F.col("rest")) & ~inside
-    clear = rows.where(~F.coalesce(edge, F.lit(False))).withColumn("extra", F.when(F.col("rest") > 0, inside.cast("int")).otherwise(0))
-    running = F.sum("tokens").over(Window.partitionBy("source", "lang").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    # The document on the edge is used if more than half of it lies inside.
-    last = rows.where(edge).withColumn("extra", ((F.col("before") + running - F.col("tokens") / 2) <= F.col("rest")).cast("int"))
-    both = clear.unionByName(last).withColumn("usos", F.col("epochs") + F.coalesce("extra", F.lit(0)))
-    return both.where("usos > 0").select("doc_id", "source", "lang", "tokens", "usos"), leaves, budgets
+    leaves = cut(leaves_of(sized, weights), "leaves")
+    leaves = cut(leaf_budgets(leaves, F.lit(float(largest_budget(leaves) if total is None else total))), "budgets")
+    epochs = F.least(F.floor((F.col("amount") + 1e-6) / F.col("tokens")), F.col("times").cast("bigint"))
+    plan = leaves.where("tokens > 0 and amount > 0").withColumn("epochs", epochs)
+    rest = F.when(F.col("epochs") < F.col("times"), F.floor(F.col("amount") - F.col("epochs") * F.col("tokens") + 0.5)).otherwise(0)
+    plan = cut(plan.select("source", "lang", F.col("epochs").cast("int").alias("epochs"), rest.cast("bigint").alias("rest")), "plan")
+    rows = cut(sized.join(plan, ["source", "lang"]).withColumn("h", F.xxhash64(F.lit(seed), F.col("epochs"), F.col("doc_id"))), "planned")
+    used = prefixes(rows, plan).withColumn("usos", F.col("epochs") + F.col("extra"))
+    return used.where("usos > 0").select("doc_id", "source", "lang", "tokens", "usos"), leaves
 
 
 def mix(docs: DataFrame, weights: DataFrame) -> DataFrame:
@@ -136,7 +127,7 @@ def mix(docs: DataFrame, weights: DataFrame) -> DataFrame:
 
 def share_report(docs: DataFrame, weights: DataFrame, total: float | None = None) -> DataFrame:
     """Target and actual share of each weighted source, its tokens and how often documents were used."""
-    chosen, _, _ = mixture(docs, weights, total)
+    chosen, _ = mixture(docs, weights, total)
     used = cut(chosen.groupBy("source").agg(F.sum(F.col("tokens") * F.col("usos")).alias("tokens_usados"), F.max("usos").alias("max_usos"), F.count("*").alias("documentos")), "shares")
     everything = used.agg(F.sum("tokens_usados").alias("t"))
     total_used = everything.first().t  # one number

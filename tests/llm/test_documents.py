@@ -45,20 +45,54 @@ def test_both_tiers_equal_the_library(reference):
                 assert tok.merged(piece.encode()) == reference.encode_ordinary(piece)
 
 
-def test_fill_gives_shortages_to_siblings_first():
-    assert mixing.fill([1, 1, 2], [10, 1, 100], 8) == pytest.approx([7 / 3, 1, 14 / 3])
-    assert mixing.fill([1, 1], [1, 1], 10) == [1, 1]
-    leaf = lambda d, s, w, room: {"domain": d, "lang": "pt", "source": s, "weight": w, "room": room, "tokens": room, "times": 1}
-    got = mixing.leaf_budgets([leaf("a", "a_1", 0.25, 5.0), leaf("a", "a_2", 0.25, 100.0), leaf("b", "b_1", 0.5, 100.0)], 100)
-    assert got == {("a_1", "pt"): 5, ("a_2", "pt"): 45, ("b_1", "pt"): 50}
+def brute_fill(weights, room, budget):
+    """Siblings one by one: full ones drop out, the rest share again."""
+    out, open_ = [0.0] * len(weights), [i for i, r in enumerate(room) if r > 0 and weights[i] > 0]
+    left = min(budget, sum(room[i] for i in open_))
+    while open_ and left > 1e-9:
+        total = sum(weights[i] for i in open_)
+        full = [i for i in open_ if out[i] + left * weights[i] / total >= room[i] - 1e-9]
+        for i in full or open_:
+            out[i] += room[i] - out[i] if full else left * weights[i] / total
+        left = left - sum(room[i] for i in full) if full else 0
+        open_ = [i for i in open_ if i not in full]
+    return out
+
+
+def test_fill_gives_shortages_to_siblings(spark):
+    import random
+
+    rng, rows, expect = random.Random(3), [], {}
+    for p in range(60):
+        n = rng.randint(1, 6)
+        weights, room, budget = [rng.choice((0.0, 1.0, rng.random())) for _ in range(n)], [rng.choice((0.0, 5.0, rng.random() * 20)) for _ in range(n)], rng.choice((0.0, 3.0, 1000.0, rng.random() * 30))
+        expect[p] = brute_fill(weights, room, budget)
+        rows += [(p, i, w, r, budget) for i, (w, r) in enumerate(zip(weights, room, strict=True))]
+    got = mixing.fill(spark.createDataFrame(rows, "p int, i int, weight double, room double, budget double"), ("p",), "i").collect()
+    assert all(r.amount == pytest.approx(expect[r.p][r.i]) for r in got) and len(got) == len(rows)
+    leaf = [("a", "pt", "a_1", 0.25, 5.0), ("a", "pt", "a_2", 0.25, 100.0), ("b", "pt", "b_1", 0.5, 100.0)]
+    got = mixing.leaf_budgets(spark.createDataFrame(leaf, "domain string, lang string, source string, weight double, room double"), F.lit(100.0)).collect()
+    assert {r.source: r.amount for r in got} == {"a_1": 5, "a_2": 45, "b_1": 50}
+
+
+def test_prefix_search_equals_one_ordering(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "FEW", 3)
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.lit("pt").alias("lang"), (F.col("id") % 7 + 1).alias("tokens"), F.lit(5000).cast("bigint").alias("rest"), F.xxhash64("id").alias("h"))
+    got = mixing.prefixes(rows, rows.select("source", "lang", "rest").distinct())
+    ordered, run, expect = sorted((r.h & (2**64 - 1), r.doc_id, r.tokens) for r in rows.collect()), 0, set()
+    for _, d, t in ordered:
+        run += t
+        if run - t / 2 <= 5000:
+            expect.add(d)
+    assert {r.doc_id for r in got.where("extra = 1").collect()} == expect and got.count() == 4000
 
 
 def test_mixture(spark, base):
     docs, weights = table(spark, base, "documents"), table(spark, base, "pesos_fontes")
-    chosen, leaves, budgets = mixing.mixture(docs, weights)
+    chosen, leaves = mixing.mixture(docs, weights)
     used = {(r.source, r.lang): r.t for r in chosen.groupBy("source", "lang").agg(F.sum(F.col("tokens") * F.col("usos")).alias("t")).collect()}
     longest = docs.agg(F.max("n_chars")).first()[0]
-    assert all(abs(used.get(k, 0) - b) <= longest for k, b in budgets.items())
+    assert all(abs(used.get((r.source, r.lang), 0) - r.amount) <= longest for r in leaves.collect())
     limits = {r.source: r.max_repeticoes for r in weights.collect()}
     assert all(r.usos <= limits[r.source] for r in chosen.collect())
     assert chosen.count() == chosen.select("doc_id").distinct().count()
