@@ -125,3 +125,12 @@ def test_level_edges(spark):
     none = reading_level.levelled(docs, labels.limit(0)).collect()
     assert {r.doc_id: r.nivel for r in none} == {1: 3, 2: 3, 3: 3, 4: 3}
     assert reading_level.levelled(docs.limit(0), labels).count() == 0
+
+
+def test_both_ways_of_propagation_agree(spark, base, monkeypatch):
+    docs, labels = table(spark, base, "documents"), table(spark, base, "niveis_rotulados")
+    own, clamped = docs.where("lang = 'pt'").select("doc_id", "text"), reading_level.grades(labels)
+    one = {r.doc_id: r.valor for r in reading_level.propagate(own, clamped, 3.0).collect()}
+    monkeypatch.setattr(reading_level, "MAX_WORDS", 0)
+    two = {r.doc_id: r.valor for r in reading_level.propagate(own, clamped, 3.0).collect()}
+    assert one.keys() == two.keys() and all(one[k] == pytest.approx(two[k]) for k in one)
