@@ -233,21 +233,34 @@ def test_canonical_list(spark, acts):
     assert {r[2] for r in rows(canonical_list.mapped_values(acts({"orgao": "x", "cargo_assinante": "y"}), agencies.limit(0), roles.limit(0)))} == {0}
 
 
-def test_prefix_filter_loses_no_pair(spark, base):
-    """Every value against every entry by brute force, with the same sets, gives the same best similarity."""
-    entries = canonical_list.agency_entries(table(spark, base, "ref_orgaos"))
+@pytest.mark.parametrize("most", [20_000, 0])
+def test_filters_and_keys_lose_no_pair(spark, base, monkeypatch, most):
+    """Every word against every list token and every value against every entry gives the same best similarity, broadcast or not."""
+    C = canonical_list
+    monkeypatch.setattr(C, "MAX_LIST", most)
+    entries = C.agency_entries(table(spark, base, "ref_orgaos"))
     values = table(spark, base, "doeg_2026").selectExpr("orgao AS valor")
-    got = {r.valor: r.semelhanca for r in canonical_list.match_list(values, entries, True).collect()}
-    voc = canonical_list.Vocabulary([(r.ref_id, r.tipo, r.nome) for r in sorted(entries.collect(), key=lambda r: (r.ref_id, r.tipo))])
-    voc.names = {i: t for t, i in voc.rank.items()}
+    got = {r.valor: r.semelhanca for r in C.match_list(values, entries, True).collect()}
+    listed = [(r.ref_id, r.tipo, C.plain_text(r.nome), C.tokens_of(r.nome)) for r in entries.collect()]
+    tokens = sorted({t for *_, ts in listed for t in ts})
+    heads = {ts[0] for _, kind, _, ts in listed if kind != 1}
+    known = {}
+    for w in {w for v in got for w in C._WORDS.findall(C.fold(v))}:
+        exact = next((f for f in C.spellings(w.rstrip(".")) if f in tokens), None)
+        mid, end = ([exact], [exact]) if exact else (C.stands_for(w, False, tokens), C.stands_for(w, True, tokens))
+        x, pair = w.rstrip("."), []
+        for k in range(3, len(x) - 3) if not end and len(x) >= 8 else ():
+            pair = pair or next(([f, t] for f in C.spellings(x[:k]) for t in (x[k:], x[k + 1 :]) if f in tokens and t in tokens), [])
+        known[w] = {"meio": mid, "fim": end, "partes": pair, "cabeca": bool(heads & set(mid))}
     for v, s in got.items():
         best = 0.0
-        for k, tokens in enumerate(canonical_list.candidates(v, voc, True)):
-            for _, _, listed in voc.aliases:
-                shared = sum(any(a in t for t in tokens) for a in listed)
-                common = min(shared, sum(bool(set(t) & set(listed)) for t in tokens))
-                j = common / (len(tokens) + len(listed) - common)
-                best = max(best, j if j >= (canonical_list.PART_THRESHOLD if k else canonical_list.THRESHOLD) else 0)
+        for k, (plain, typed, _) in enumerate(C.token_sets(v, known, True)):
+            least = C.PART_THRESHOLD if k else C.THRESHOLD
+            begun = {ref for ref, _, text, _ in listed if len(plain) >= C.LEAST_BEGINNING and text.startswith(plain) and text != plain}
+            for *_, ts in listed:
+                common = min(sum(any(a in t for t in typed) for a in ts), sum(bool(set(t) & set(ts)) for t in typed))
+                j = common / (len(typed) + len(ts) - common)
+                best = max(best, j if j >= least else 0, 1.0 if len(begun) == 1 else 0)
         assert s == pytest.approx(best), v
 
 
