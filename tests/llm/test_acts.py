@@ -209,14 +209,43 @@ def test_values_often_cut_at_one_place(spark, acts):
     assert rates["b.example", "orgao"] == (90, 90) and rates["a.example", "orgao"] == (66, 0)
 
 
-def test_gram_hashes_agree_with_substrings():
+def test_window_hashes_agree_with_substrings():
     import numpy as np
 
     text = "abracadabra"
+    up, down = truncation._powers(20)
     p = truncation._points(text)
-    for n, h in truncation.gram_hashes(p, (1, 3, 5, 8)).items():
+    sums = truncation.running_sums(p, up)
+    for n in (1, 3, 5, 8):
+        h = truncation.window_hashes(p, np.arange(n, len(p) + 1), n, sums, down)
         grams = [text[i : i + n] for i in range(len(text) - n + 1)]
-        assert len(h) == len(grams) and len(np.unique(h)) == len(set(grams))
+        assert all((a == b) == (x == y) for a, x in zip(grams, h, strict=True) for b, y in zip(grams, h, strict=True))
+
+
+@pytest.mark.parametrize("most", [1 << 25, 40])
+def test_contexts_equal_brute_force(spark, acts, monkeypatch, most):
+    """Counts of every context, in one pass and in several, and across the seams of segments."""
+    monkeypatch.setattr(truncation, "MOST_CONTEXTS", most)
+    monkeypatch.setattr(truncation, "SEGMENT", 64)
+    texts = ["o termo será assinado perante a chefia", "assinado perante a chefia imediata e o termo", "a chefia", "", "termo"] * 3
+    df = acts(*[{"trecho": t} for t in texts])
+    ends = spark.createDataFrame([("trecho", t[-20:], 1) for t in set(texts) if t], "campo string, fim string, n bigint")
+    suffixes = ends.mapInPandas(truncation._suffix_rows, "campo string, fim string, ordem int, hash bigint, n bigint")
+    names = {(r.ordem, r.hash): r.fim[-r.ordem :] for r in suffixes.collect()}
+    got = {(r.ordem, names[r.ordem, r.hash]): (r.total, r.letras) for r in truncation.contexts(df, ("trecho",), suffixes).collect() if (r.ordem, r.hash) in names}
+    for (n, gram), found in got.items():
+        at = [(t, i) for t in texts for i in range(len(t) - n + 1) if t[i : i + n] == gram]
+        assert found == (len(at), sum(t[i + n : i + n + 1].isalpha() for t, i in at)), gram
+    assert got.keys() == {(n, gram) for (n, _), gram in names.items()}
+
+
+def test_planted_cuts_are_found(spark):
+    """Cuts planted in values of one table are found at the same thresholds (held out from those that fitted them)."""
+    df = table(spark, "/root/testdata/sf0.01", "doeg_2026").select("linha_csv", "trecho", "orgao", "fonte_url")
+    cut_ = df.where("linha_csv % 50 = 7 and length(trecho) > 150").selectExpr("linha_csv + 1000000 AS linha_csv", "substring(trecho, 1, 60 + linha_csv % 80) AS trecho", "'' AS orgao", "fonte_url")
+    found = {r.linha_csv for r in truncation.truncated(df.unionByName(cut_)).where("campo = 'trecho'").collect()}
+    planted = {r.linha_csv for r in cut_.collect()}
+    assert len(planted & found) / len(planted) > 0.9 and len(found - planted) < 0.08 * df.count()
 
 
 # ---- problem 6
