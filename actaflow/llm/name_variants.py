@@ -18,18 +18,18 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from actaflow.llm.canonical_list import near
 from actaflow.llm.encoding_repair import restored
-from actaflow.runtime import cut, spread
+from actaflow.runtime import cut, ship_code, spread
+from actaflow.schemas import ADMINISTRATIVE_TERMS
 
 PARTICLES = ("DE", "DA", "DO", "DAS", "DOS", "E")
 SUFFIXES = ("FILHO", "FILHA", "JUNIOR", "NETO", "NETA", "SOBRINHO", "SEGUNDO")
-#: Words of administrative phrases that stand where a name should be (fixed values).
-NO_NAME = ("OS", "AS", "PARA", "COM", "CONFORME", "SOB", "II", "III", "IV", "SE", "UNICO", "ANEXO", "CIDADE", "PRAZOS", "SERVIDORES", "ABAIXO",
-           "INSCRITO", "CADASTRO", "LOTACAO", "CONTAR", "OCUPANTE", "CARGO", "VAGO", "QUADRO", "COMPOR", "REGISTRE", "CUMPRA", "PUBLIQUE", "COLABORACAO")
+#: Function words that no name holds (fixed values); a value with one of them, or with a particle at its start or end, is a phrase.
+NO_NAME = ("PARA", "CONFORME", "SOB", "SE", "NO", "NA", "NOS", "NAS", "OS", "AS", "POR", "AO", "AOS", "QUE", "SEM", "ATE", "CONTAR", "II", "III", "IV")
 #: Brazilian nicknames and the given names they stand for (fixed values).
 NICKNAMES = {
     "BASTIAO": ("SEBASTIAO",), "BEBEL": ("ISABEL",), "BEL": ("ISABEL",), "BETO": ("ROBERTO", "ALBERTO", "GILBERTO"), "BIA": ("BEATRIZ",), "CEICA": ("CONCEICAO",), "CHIQUINHA": ("FRANCISCA",), "CHIQUINHO": ("FRANCISCO",), "CHICA": ("FRANCISCA",), "CHICO": ("FRANCISCO",),
@@ -42,8 +42,8 @@ NICKNAMES = {
     "TINA": ("CRISTINA",), "TITO": ("ANTONIO",), "TONHO": ("ANTONIO",), "TONICO": ("ANTONIO",), "VAVA": ("VALDIR",), "VERA": ("VERONICA",), "XICO": ("FRANCISCO",),
     "ZE": ("JOSE",), "ZECA": ("JOSE",), "ZEZE": ("JOSE", "MARIA"), "ZITO": ("JOSE",),
 }
-#: A typo is taken to happen to one written word in this many.
-TYPO_ODDS = 20.0
+#: A word one edit away from another is its typo if the other is held by so many times more names (names as sets of words).
+TYPO_ODDS = 10.0
 
 
 def spelling(text: str) -> str:
@@ -66,50 +66,61 @@ def spellings(acts: DataFrame, fields: tuple[str, ...]) -> DataFrame:
     values = values.join(garbled.select("valor"), "valor", "left_anti")
     rows = values.mapInPandas(_spell, "campo string, grafia string, n bigint").groupBy("campo", "grafia").agg(F.sum("n").alias("n"))
     words = F.split("grafia", " ")
-    return rows.where((F.col("grafia") != "") & ~F.arrays_overlap(words, F.array(*[F.lit(w) for w in NO_NAME])))
+    end = F.array(*[F.lit(w) for w in PARTICLES])
+    phrase = F.arrays_overlap(words, F.array(*[F.lit(w) for w in NO_NAME])) | (F.array_contains(end, F.element_at(words, -1)) & (F.element_at(words, -1) != "E")) | (F.array_contains(end, words[0]) & (words[0] != "E"))
+    phrase = phrase | ((words[0] == "COM") & ~F.coalesce(F.array_contains(end, F.get(words, F.lit(1))), F.lit(False)))  # before a particle it stands for a commission
+    phrase = phrase | ((F.col("campo") == "nome") & F.arrays_overlap(words, F.array(*[F.lit(w) for w in ADMINISTRATIVE_TERMS])))
+    return rows.where((F.col("grafia") != "") & ~phrase)
+
+
+def plain_words(column: Column) -> Column:
+    """Words of a spelling without particles; ``E`` at either end is an initial."""
+    words = F.split(column, " ")
+    return F.filter(words, lambda w, i: ~w.isin(*PARTICLES) | ((w == "E") & ((i == 0) | (i == F.size(words) - 1))))
 
 
 def word_readings(rows: DataFrame) -> DataFrame:
-    """``campo, palavra, lida, tipos``: each word and the more frequent word it is most likely a typo of.
+    """``palavra, lida, tipos, duvida``: each word and the more frequent word it is most likely a typo of.
 
-    The frequency of a word is the number of spellings that hold it. Words one edit apart meet
-    through the strings left when one letter is deleted.
+    A word that may be a typo of several others stays as it is (``duvida``): the rest of the name decides
+    later. The frequency of a word is the number of names, as sets of words over all fields, that hold it. Words
+    one edit apart meet through the strings left when one letter is deleted.
     """
-    words = rows.select("campo", F.explode(F.array_distinct(F.split("grafia", " "))).alias("w")).groupBy("campo", "w").agg(F.count("*").alias("tipos"))
-    words = cut(words, "words")
+    names = rows.select(F.array_sort(F.array_distinct(plain_words(F.col("grafia")))).alias("nome")).distinct()
+    words = cut(names.select(F.explode("nome").alias("w")).groupBy("w").agg(F.count("*").alias("tipos")), "words")
     deletes = F.concat(F.array("w"), F.transform(F.sequence(F.lit(1), F.length("w")), lambda i: F.concat(F.expr("w").substr(F.lit(1), i - 1), F.expr("w").substr(i + 1, F.length("w")))))
-    keyed = words.where(F.length("w") >= 3).select("campo", "w", "tipos", F.explode(F.array_distinct(deletes)).alias("key"))
-    rare, often = keyed.alias("r"), keyed.alias("o")
-    pairs = rare.join(often, (F.col("r.campo") == F.col("o.campo")) & (F.col("r.key") == F.col("o.key"))).where(F.col("o.tipos") > TYPO_ODDS * F.col("r.tipos"))
+    keyed = words.where(F.length("w") >= 3).select("w", "tipos", F.explode(F.array_distinct(deletes)).alias("key"))
+    pairs = keyed.alias("r").join(keyed.alias("o"), "key").where(F.col("o.tipos") > 2 * F.col("r.tipos"))
     distance = F.levenshtein("r.w", "o.w")
     swapped = (distance == 2) & (F.array_sort(F.split("r.w", "")) == F.array_sort(F.split("o.w", "")))
     pairs = pairs.where((distance == 1) | swapped).where(~F.col("r.w").isin(*NICKNAMES, *PARTICLES, *SUFFIXES))
-    best = pairs.groupBy(F.col("r.campo").alias("campo"), F.col("r.w").alias("w")).agg(F.max_by(F.col("o.w"), F.struct(F.col("o.tipos"), F.col("o.w"))).alias("lida"))
-    return words.join(best, ["campo", "w"], "left").select("campo", F.col("w").alias("palavra"), F.coalesce("lida", "w").alias("lida"), "tipos")
+    best = pairs.groupBy(F.col("r.w").alias("w")).agg(F.max_by(F.col("o.w"), F.struct(F.col("o.tipos"), F.col("o.w"))).alias("lida"), F.sort_array(F.collect_list(F.struct("o.tipos", "o.w")), asc=False).alias("p"))
+    first, others = F.col("p")[0]["tipos"], F.filter("p", lambda x: (x["w"] != F.col("lida")) & (2 * TYPO_ODDS * x["tipos"] >= F.col("p")[0]["tipos"]))  # words have few neighbours
+    best = best.select("w", "lida", first.alias("mais"), (F.size(others) + 1).alias("k"))
+    typo = F.coalesce(F.col("mais") > TYPO_ODDS * F.col("tipos"), F.lit(False))
+    return words.join(best, "w", "left").select(F.col("w").alias("palavra"), F.when(typo & (F.col("k") == 1), F.col("lida")).otherwise(F.col("w")).alias("lida"), "tipos", (typo & (F.col("k") > 1)).alias("duvida"))
 
 
 def _splits(readings: DataFrame) -> DataFrame:
     """Rare long words that are two frequent words run together."""
-    often = readings.where((F.length("palavra") >= 3) & (F.col("palavra") == F.col("lida")) & ~F.col("palavra").isin(*SUFFIXES)).select("campo", "palavra", "tipos")
+    often = readings.where((F.length("palavra") >= 3) & (F.col("palavra") == F.col("lida")) & ~F.col("palavra").isin(*SUFFIXES)).select("palavra", "tipos")
     long = readings.where((F.length("palavra") >= 8) & (F.col("palavra") == F.col("lida")))
-    cuts = long.select("campo", "palavra", "tipos", F.explode(F.sequence(F.lit(3), F.length("palavra") - 3)).alias("k")).select(
-        "campo", "palavra", "tipos", F.expr("substring(palavra, 1, k)").alias("a"), F.expr("substring(palavra, k + 1)").alias("b"))
-    left = often.select("campo", F.col("palavra").alias("a"), F.col("tipos").alias("ta"))
-    right = often.select("campo", F.col("palavra").alias("b"), F.col("tipos").alias("tb"))
-    found = cuts.join(left, ["campo", "a"]).join(right, ["campo", "b"]).where(F.least("ta", "tb") > TYPO_ODDS / 4 * F.col("tipos"))
-    return found.groupBy("campo", "palavra").agg(F.max_by(F.array("a", "b"), F.least("ta", "tb")).alias("partes"))
+    cuts = long.select("palavra", "tipos", F.explode(F.sequence(F.lit(3), F.length("palavra") - 3)).alias("k")).select(
+        "palavra", "tipos", F.expr("substring(palavra, 1, k)").alias("a"), F.expr("substring(palavra, k + 1)").alias("b"))
+    left = often.select(F.col("palavra").alias("a"), F.col("tipos").alias("ta"))
+    right = often.select(F.col("palavra").alias("b"), F.col("tipos").alias("tb"))
+    found = cuts.join(left, "a").join(right, "b").where(F.least("ta", "tb") > TYPO_ODDS / 2 * F.col("tipos"))
+    return found.groupBy("palavra").agg(F.max_by(F.array("a", "b"), F.least("ta", "tb")).alias("partes"))
 
 
 def forms(rows: DataFrame) -> DataFrame:
     """``campo, grafia, n, forma`` (sorted words as read, particles aside) and ``ordem`` (as written)."""
     readings = cut(word_readings(rows), "readings")
-    table = readings.join(_splits(readings), ["campo", "palavra"], "left").select(
-        "campo", "palavra", F.coalesce("partes", F.array("lida")).alias("partes"), "tipos")
-    placed = rows.select("campo", "grafia", "n", F.posexplode(F.split("grafia", " ")).alias("i", "palavra"))
-    read = placed.join(table, ["campo", "palavra"]).where(~F.col("palavra").isin(*PARTICLES))
-    read = read.groupBy("campo", "grafia", "n").agg(F.array_sort(F.collect_list(F.struct("i", "partes", "tipos"))).alias("p"))
+    table = readings.join(_splits(readings), "palavra", "left").select("palavra", F.coalesce("partes", F.array("lida")).alias("partes"), "duvida")
+    placed = rows.select("campo", "grafia", "n", F.posexplode(plain_words(F.col("grafia"))).alias("i", "palavra"))
+    read = placed.join(table, "palavra").groupBy("campo", "grafia", "n").agg(F.array_sort(F.collect_list(F.struct("i", "partes"))).alias("p"), F.max("duvida").alias("duvida"))
     words = F.flatten(F.transform("p", lambda x: x["partes"]))
-    return read.select("campo", "grafia", "n", words.alias("ordem"), F.concat_ws(" ", F.array_sort(words)).alias("forma"))
+    return read.select("campo", "grafia", "n", words.alias("ordem"), F.concat_ws(" ", F.array_sort(words)).alias("forma"), "duvida")
 
 
 def channel(form: list[str], full: list[str]) -> float | None:
@@ -211,7 +222,7 @@ def _keys(of, name: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             b["chave"] = [list(of(list(w))) for w in b["ordem"]]
-            out = b[["campo", "forma", "n", "letras", "palavras", "chave"]].explode("chave").dropna()
+            out = b[["campo", "forma", "n", "letras", "palavras", "duvida", "chave"]].explode("chave").dropna()
             yield out.rename(columns={"forma": name})
 
     return run
@@ -251,18 +262,20 @@ def entities(acts: DataFrame, fields: tuple[str, ...] = ("nome", "assinante")) -
     Null, blank, garbled values and phrases that are no names are left out. Ties go to the more
     frequent, then the alphabetically larger candidate. An empty table gives no rows.
     """
+    ship_code(acts.sparkSession)
     rows = cut(spellings(acts, fields), "spellings")
     written = cut(forms(rows), "forms")
-    form = written.groupBy("campo", "forma").agg(F.sum("n").alias("n"), F.max_by("ordem", F.struct("n", "grafia")).alias("ordem"))
+    form = written.groupBy("campo", "forma").agg(F.sum("n").alias("n"), F.max_by("ordem", F.struct("n", "grafia")).alias("ordem"), F.max("duvida").alias("duvida"))
     form = cut(form, "form")
     sized = spread(form.withColumn("letras", F.length(F.concat_ws("", "ordem"))).withColumn("palavras", F.size("ordem")))
-    kept = "n bigint, letras int, palavras int, chave string"
+    kept = "n bigint, letras int, palavras int, duvida boolean, chave string"
     probe = sized.mapInPandas(_keys(probe_keys, "forma"), f"campo string, forma string, {kept}").withColumn("chave", F.xxhash64("campo", "chave"))
     offer = sized.mapInPandas(_keys(offer_keys, "c_forma"), f"campo string, c_forma string, {kept}").withColumn("chave", F.xxhash64("campo", "chave"))
-    offer = offer.select("campo", "c_forma", "chave", F.col("n").alias("c_n"), F.col("letras").alias("c_letras"), F.col("palavras").alias("c_palavras"))
+    offer = offer.select("campo", "c_forma", "chave", F.col("n").alias("c_n"), F.col("letras").alias("c_letras"), F.col("palavras").alias("c_palavras"), F.col("duvida").alias("c_duvida"))
     meet = probe.join(offer, ["campo", "chave"]).where("forma <> c_forma")
-    # A form attaches only to one with more letters, or to a more frequent one with as many.
-    ahead = (F.col("c_letras") > F.col("letras")) | ((F.col("c_letras") >= F.col("letras") - 1) & (F.col("c_n") > 2 * F.col("n")) & (F.col("c_palavras") == F.col("palavras")))
+    # A form attaches only to one with more letters, or to a more frequent or less doubtful one with as many.
+    better = (F.col("c_n") > 2 * F.col("n")) | (F.col("duvida") & ~F.col("c_duvida"))
+    ahead = (F.col("c_letras") > F.col("letras")) | ((F.col("c_letras") >= F.col("letras") - 1) & better & (F.col("c_palavras") == F.col("palavras")))
     meet = meet.where(ahead & (F.col("c_palavras") >= F.col("palavras") - 1)).select("campo", "forma", "c_forma", "c_n").distinct()
     meet = meet.join(form.select("campo", "forma", "ordem"), ["campo", "forma"]).join(form.select("campo", F.col("forma").alias("c_forma"), F.col("ordem").alias("c_ordem")), ["campo", "c_forma"])
     scored = meet.select("campo", "forma", "ordem", "c_forma", "c_ordem", "c_n").mapInPandas(_score, "campo string, forma string, c_forma string, posterior double")

@@ -175,6 +175,14 @@ def test_nickname_and_one_surname(spark, acts):
     assert got["ZE SOLVURDIM"] == got["JOSE SOLVURDIM"] and got["ANA XROBAPEL"] == got["ANA DROBAPEL"] and len(set(got.values())) == 2
 
 
+def test_typos_between_two_words_and_initial_e(spark, acts):
+    others = [f"{g} {s}{t} ROLALUZ" for g in ("JOAO", "JOANA", "ELISA", "RUI") for s in ("BAR", "DOL", "FEZ", "GOT", "LAT") for t in ("IMUL", "ADUR", "OSEN", "UVAT")]
+    names = [*others, "JOANA PELUMIL ZARANOR", "JOAA PELUMIL ZARANOR", "ELISA PELUMIL ZARANOR", "E PELUMIL ZARANOR", "REGISTRE SE", "DA CIDADE DE", "PARA COMPOR A COMISSAO"]
+    df = acts(*[{"nome": n} for n in names], {"assinante": "COMISSAO DE POSSE ROLALUZ"}, {"assinante": "COM DE POSSE ROLALUZ"})
+    got = rows(name_variants.variant_pairs(df))
+    assert got == [("assinante", "COM DE POSSE ROLALUZ", "COMISSAO DE POSSE ROLALUZ"), ("nome", "E PELUMIL ZARANOR", "ELISA PELUMIL ZARANOR"), ("nome", "JOAA PELUMIL ZARANOR", "JOANA PELUMIL ZARANOR")]
+
+
 def test_parents_in_rings_and_long_chains(spark):
     parents = {"A": "B", "B": "A", "C": "A", "D": "E", "E": "F", "F": "D", **{f"x{i}": f"x{min(i + 1, 20)}" for i in range(21)}}
     df = spark.createDataFrame([("nome", f, p, 9 if f in "AE" else 1) for f, p in parents.items()], "campo string, forma string, pai string, n bigint")
