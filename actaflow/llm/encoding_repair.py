@@ -18,6 +18,8 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex as re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,6 +93,16 @@ def _need(byte: int) -> tuple[int, int, int]:
     return 0, 0, 0
 
 
+def _spans(codec: str) -> re.Pattern:
+    """A lead byte's character and a continuation byte's: without such a pair there is no span."""
+    lead = "".join(c for c, b in BYTES[codec].items() if 0xC2 <= b <= 0xF4)
+    rest = "".join(c for c, b in BYTES[codec].items() if 0x80 <= b <= 0xBF)
+    return re.compile(f"[{re.escape(lead)}][{re.escape(rest)}]")
+
+
+SPANS = {c: _spans(c) for c in CODECS}
+
+
 def decode_spans(text: str, codec: str) -> tuple[str, int]:
     """Decode the well-formed multi-byte spans of ``text`` under ``codec``; also how many there are.
 
@@ -98,7 +110,10 @@ def decode_spans(text: str, codec: str) -> tuple[str, int]:
     A span that decodes to a character Portuguese text can't have is left alone unless it is an
     intermediate of twice garbled text (a character the same code page can turn back).
     """
-    back, out, i, n, found = BYTES[codec], [], 0, len(text), 0
+    first = SPANS[codec].search(text)
+    if not first:
+        return text, 0
+    back, out, i, n, found = BYTES[codec], [text[: first.start()]], first.start(), len(text), 0
     while i < n:
         ch = text[i]
         lead = back.get(ch, 0) if ch > "\x7f" else 0
@@ -138,8 +153,8 @@ def decoded(text: str, name: bool) -> str:
 
 _WORD = re.compile(r"[^\s\u00a0(),;:/.!?\"\-\[\]{}]+")
 _CEDILLA = re.compile(r"[A-ZÀ-Ü]Ç(?:[OE]S?)?$")
-#: What stands between words, for counting (Java syntax).
-_BETWEEN = r"[\s\u00a0(),;:/.!?\"\-\[\]{}“”‘’]+"
+#: What stands between words, for counting (RE2 syntax).
+_BETWEEN = r"[\s\x{a0}(),;:/.!?\"\-\[\]{}“”‘’]+"
 _QUOTE_INSIDE = re.compile(r"(?<=\p{L})[“”](?=\p{Ll})")
 _CONNECTORS = frozenset("de da do des das dos e a o em na no nas nos".split())
 _LOST = re.compile(r"\ufffd|\?(?=[^\W\d_])|(?<![\w)\]”’\"?])\?|\b[nN]\?(?= ?\d)|\?{2,}(?=\w)|\b[^\W\d_]{1,3}\? (?=[a-zà-ü])")
@@ -269,10 +284,17 @@ def _answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b.loc[b["perdido"] | (b["restaurado"] != b["valor"]), ["id", "campo", "valor", "restaurado", "perdido", "via"]]
 
 
+def _accented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        words = pc.split_pattern_regex(pc.utf8_upper(b.column(0)), _BETWEEN).flatten()
+        words = words.filter(pc.not_equal(pc.binary_length(words), pc.utf8_length(words)))
+        counts = words.filter(pc.match_substring_regex(words, rf"^[A-Z{LETTERS}]+$")).value_counts()
+        yield pa.RecordBatch.from_arrays([counts.field("values").cast(pa.string()), counts.field("counts").cast(pa.int64())], ["palavra", "n"])
+
+
 def accented_words(values: DataFrame) -> DataFrame:
     """``palavra, n``: how often ``valor`` holds each word with Portuguese letters outside ASCII, in upper case."""
-    words = F.filter(F.split(F.upper("valor"), _BETWEEN), lambda w: (F.octet_length(w) > F.length(w)) & w.rlike(rf"^[A-Z{LETTERS}]+$"))
-    return values.select(F.explode(words).alias("palavra")).groupBy("palavra").agg(F.count("*").alias("n"))
+    return values.where("valor is not null").select("valor").mapInArrow(_accented, "palavra string, n bigint").groupBy("palavra").agg(F.sum("n").alias("n"))
 
 
 def restored(values: DataFrame) -> DataFrame:
