@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from actaflow.functions import text as T
+from actaflow.runtime import cut
 
 TOP_AGENCIES = 10
 TOP_TRANSITIONS = 30
@@ -152,25 +153,31 @@ def degrees(ret: DataFrame, k: int = TOP_TRANSITIONS) -> DataFrame:
     return ends.groupBy("estado").agg(F.count("*").alias("grau"))
 
 
-def stationary_vector(ret: DataFrame, most: int = 200) -> DataFrame:
+#: States up to which the stationary vector is solved as one small matrix; more are iterated as joins.
+FEW_STATES = 200
+
+
+def stationary_vector(ret: DataFrame, most: int = FEW_STATES) -> DataFrame:
     """Stationary distribution of the chain; a state without successors is absorbing.
 
-    States are labels of a fixed scheme (a few dozen); more than ``most`` raise an error, so what is
-    collected has a bound.
+    Up to ``most`` states (a few dozen labels in practice) their matrix is solved at once; more take
+    the way of ``stationary_by_joins``.
     """
-    t = transitions(ret).limit(most * most + 1).collect()
-    states = sorted({r.estado for r in t} | {r.prox_estado for r in t})
-    if len(states) > most:
-        raise ValueError(f"more than {most} states")
+    t = cut(transitions(ret), "transitions")
+    names = t.select("estado").union(t.select("prox_estado")).distinct()
+    if names.count() > most:
+        return stationary_by_joins(t)
+    rows = t.collect()  # at most ``most`` squared
+    states = sorted({r.estado for r in rows} | {r.prox_estado for r in rows})
     spark = ret.sparkSession
     if not states:
         return spark.createDataFrame([], "estado string, p double")
     at = {s: i for i, s in enumerate(states)}
     m = np.zeros((len(states), len(states)))
-    for r in t:
+    for r in rows:
         m[at[r.estado], at[r.prox_estado]] = r.n
-    rows = m.sum(axis=1)
-    m[rows == 0, rows == 0] = 1
+    sums = m.sum(axis=1)
+    m[sums == 0, sums == 0] = 1
     m = m / m.sum(axis=1, keepdims=True)
     n = len(states)
     a = np.vstack([m.T - np.eye(n), np.ones(n)])
@@ -179,6 +186,68 @@ def stationary_vector(ret: DataFrame, most: int = 200) -> DataFrame:
     return spark.createDataFrame([(s, float(x)) for s, x in zip(states, v, strict=True)], "estado string, p double")
 
 
+def stationary_by_joins(t: DataFrame, tolerance: float = 1e-10, most_rounds: int = 500) -> DataFrame:
+    """The same by power iteration over (``estado, prox_estado, n``), any number of states; half of each step stays, so cycles settle."""
+    total = t.groupBy("estado").agg(F.sum("n").alias("total"))
+    names = t.select("estado").union(t.select("prox_estado")).distinct()
+    edges = t.join(total, "estado").select("estado", "prox_estado", (F.col("n") / F.col("total")).alias("q"))
+    stuck = names.join(total, "estado", "left_anti").select("estado", F.col("estado").alias("prox_estado"), F.lit(1.0).alias("q"))
+    edges = cut(edges.unionByName(stuck), "chain")
+    n = names.count()
+    v = cut(names.withColumn("p", F.lit(1.0 / max(n, 1))), "vector")
+    for _ in range(most_rounds):
+        step = v.join(edges, "estado").groupBy(F.col("prox_estado").alias("estado")).agg(F.sum(F.col("p") * F.col("q")).alias("in"))
+        new = cut(v.join(step, "estado", "left").select("estado", (F.col("p") / 2 + F.coalesce("in", F.lit(0.0)) / 2).alias("p"), F.abs(F.coalesce("in", F.lit(0.0)) - F.col("p")).alias("d")), "vector")
+        change = new.agg(F.max("d")).first()[0] or 0.0
+        v = new.select("estado", "p")
+        if change <= tolerance:
+            break
+    return v
+
+
+def axis_mode(df: DataFrame) -> DataFrame:
+    """``Setor`` if that is the only origin, else ``Governo``."""
+    return df.agg(F.when(F.collect_set("origem_representante") == F.array(F.lit("Setor")), "Setor").otherwise("Governo").alias("eixo"))
+
+
+def flow_order(df: DataFrame, key: str = "representante_origem") -> DataFrame:
+    """Signed flow by ``key`` and kind, the sum of absolute flows of the key, and its place in that order (ties by key).
+
+    In sector mode only the ten largest stay.
+    """
+    flow = signed_flow(df.where(F.col(key).isNotNull() & F.col("tipo_ato").isNotNull()), key)
+    size = flow.groupBy(key).agg(F.sum(F.abs("fluxo")).alias("soma_abs"))
+    size = size.withColumn("posicao", F.row_number().over(Window.orderBy(F.desc("soma_abs"), key)))  # one row a key
+    rows = flow.join(size, key).join(F.broadcast(axis_mode(df)))  # one row
+    return rows.where((F.col("eixo") != "Setor") | (F.col("posicao") <= TOP_AGENCIES)).drop("eixo")
+
+
+def extreme_balances(df: DataFrame, key: str = "representante_governo") -> DataFrame:
+    """The keys with the largest and the smallest balance (ties by key)."""
+    b = balance(df, key).where(F.col(key).isNotNull())
+    return b.agg(F.min_by(key, F.struct(-F.col("saldo"), F.col(key))).alias("maior"), F.min_by(key, F.struct("saldo", key)).alias("menor"))
+
+
+def option_union(first: DataFrame, second: DataFrame, column: str) -> DataFrame:
+    """Distinct values of a column that two tables share."""
+    both = first.select(F.col(column).cast("string").alias("valor")).union(second.select(F.col(column).cast("string").alias("valor")))
+    return both.where("valor is not null and valor <> ''").distinct()
+
+
+def still_valid(chosen: dict[str, list[str]], options: DataFrame) -> DataFrame:
+    """``filtro, valores``: chosen values that are still among the options (``filtro, valor``), in the order chosen."""
+    spark = options.sparkSession
+    rows = [(k, i, v) for k, vs in chosen.items() for i, v in enumerate(dict.fromkeys(vs))]
+    picked = spark.createDataFrame(rows, "filtro string, i int, valor string")
+    kept = picked.join(options, ["filtro", "valor"], "left_semi")
+    return kept.groupBy("filtro").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "valor"))), lambda x: x["valor"]).alias("valores"))
+
+
+def latest_of_month(df: DataFrame, date: str = "data_movimentacao") -> DataFrame:
+    """The last day with an act of each month."""
+    return df.where(F.col(date).isNotNull()).groupBy(F.trunc(date, "MM").alias("mes")).agg(F.max(date).alias("ultimo"))
+
+
 def period_label(df: DataFrame, year: str = "ano") -> DataFrame:
     """``2020``, ``2018-2021`` if contiguous, else a list; ``sem período`` without years."""
     years = F.array_sort(F.collect_set(F.col(year).cast("int")))

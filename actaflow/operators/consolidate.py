@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from actaflow import schemas as S
 from actaflow.functions import text as T
+from actaflow.operators.dedup import load_key, new_rows
 
 
 def _filled(column: str, sentinel: str):
@@ -40,3 +41,53 @@ def returns(rows: DataFrame) -> DataFrame:
 def write_partitioned(rows: DataFrame, path: str, by: str = "estado", mode: str = "overwrite") -> None:
     """Parquet with zstd, one folder per ``by``; hash clustering first, so each task opens few folders."""
     rows.repartition(by).write.mode(mode).partitionBy(by).option("compression", "zstd").parquet(path)
+
+
+def entity_filter(rows: DataFrame, column: str = "spacy_entidades") -> DataFrame:
+    """Rows whose recognised entities hold a person, or that have none."""
+    text = F.coalesce(F.col(column), F.lit(""))
+    return rows.where(F.contains(text, F.lit(":PER")) | (F.trim(text) == ""))
+
+
+def recognised(rows: DataFrame, mode: str = "marcar") -> DataFrame:
+    """Acts by what entity recognition said of the name: ``filter`` drops those it denied, ``filtrar`` keeps all and adds a reason."""
+    denied = ~F.coalesce(F.col("spacy_pessoa"), F.lit("")).isin("sim", "indisponivel")
+    if mode == "filter":
+        return rows.where(F.coalesce(F.col("spacy_pessoa"), F.lit("")) != "nao")
+    reason = T.rejection_reasons(F.col("nome"))
+    extra = F.when((reason == "") & denied, "spacy_nao_confirmou_pessoa").otherwise(reason) if mode == "filtrar" else reason
+    return rows.withColumn("motivo_rejeicao", extra)
+
+
+def by_section(rows: DataFrame, words: str, column: str = "caderno", start: bool = False) -> DataFrame:
+    """Rows whose section holds (or begins with) ``words``, accents and case aside."""
+    text = T.normalize_text(F.col(column))
+    wanted = T.normalize_text(F.lit(words))
+    return rows.where(F.startswith(text, wanted) if start else F.contains(text, wanted))
+
+
+def real_people(rows: DataFrame, starts: tuple[str, ...]) -> DataFrame:
+    """Acts whose name doesn't begin with one of ``starts`` (words that some gazettes put where a name stands)."""
+    return rows.where(~F.coalesce(F.upper(F.get(F.split("nome", " "), F.lit(0))).isin(*starts), F.lit(False)))
+
+
+def states_with_both(first: DataFrame, second: DataFrame, column: str = "estado") -> DataFrame:
+    """States that have rows in both tables."""
+    return first.select(column).distinct().join(second.select(column), column, "left_semi")
+
+
+def processed_range(rows: DataFrame, date: str, low: str | None = None, high: str | None = None) -> DataFrame:
+    """First and last processed day: given bounds win over those of the rows."""
+    return rows.agg(F.coalesce(F.lit(low).cast("date"), F.min(date)).alias("primeira"), F.coalesce(F.lit(high).cast("date"), F.max(date)).alias("ultima"))
+
+
+def incremental_rows(existing: DataFrame, incoming: DataFrame, date: str = "data") -> DataFrame:
+    """Incoming acts outside the range of the existing ones, or inside it with a key these don't have.
+
+    ``existing`` and ``incoming`` have the columns of the analysis key; the range is one row.
+    """
+    bounds = existing.agg(F.min(date).alias("_a"), F.max(date).alias("_b"))
+    rows = incoming.join(F.broadcast(bounds))  # one row
+    inside = F.coalesce(F.col(date).between(F.col("_a"), F.col("_b")), F.lit(False))
+    rows = rows.withColumn("_dentro", inside).drop("_a", "_b")
+    return rows.where("not _dentro").unionByName(new_rows(existing, rows.where("_dentro"), load_key())).drop("_dentro")

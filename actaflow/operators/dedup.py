@@ -16,7 +16,11 @@ def write_key() -> dict[str, Column]:
 def maintenance_key(chars: int = 240) -> dict[str, Column]:
     """Identity in maintenance: normalised fields and the start of the normalised excerpt."""
     fields = ("data_publicacao", "caderno", "tipo_ato", "nome", "cargo", "orgao", "assinante")
-    return {c: T.normalize_text(F.col(c)) for c in fields} | {"inicio": F.substring(T.normalize_text(F.col("trecho")), 1, chars)}
+    # Normalising shortens only blanks and marks: if the start of the text gives enough, the rest needn't be looked at.
+    start = T.normalize_text(F.concat(F.substring("trecho", 1, 2 * chars), F.lit("x")))
+    enough = F.length(start) > chars + 1
+    text = F.when(enough, start).otherwise(T.normalize_text(F.col("trecho")))
+    return {c: T.normalize_text(F.col(c)) for c in fields} | {"inicio": F.substring(text, 1, chars)}
 
 
 def load_key() -> dict[str, Column]:
@@ -25,21 +29,30 @@ def load_key() -> dict[str, Column]:
     return raw | {f"{c}_norm": T.normalize_text(F.col(c)) for c in ("nome", "cargo", "orgao")}
 
 
+def digest(key: dict[str, Column], within: tuple[str, ...] = ()) -> Column:
+    """128 bits of a key: two seeded 64-bit hashes over its values, cheaper than a text digest of them all."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in within] + [F.coalesce(v, F.lit("\u0000")) for v in key.values()]
+    return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit("second"), *reversed(parts)).alias("b"))
+
+
 def first_wins(df: DataFrame, key: dict[str, Column], order: str = "linha_csv", within: tuple[str, ...] = ()) -> DataFrame:
-    """Rows that come first in ``order`` within their key.
+    """Rows that come first in ``order`` (unique) within their key.
 
     The first row of each key is found by aggregation (partial minimum before the shuffle) and joined
     back by row, so that a key held by a third of the rows costs no sort of its group.
     """
-    digest = F.sha2(F.to_json(F.struct(*[F.col(c) for c in within], *[v.alias(k) for k, v in key.items()])), 256)
-    firsts = df.select(digest.alias("_k"), F.col(order).alias("_first")).groupBy("_k").agg(F.min("_first").alias("_first"))
+    firsts = df.select(digest(key, within).alias("_k"), F.col(order).alias("_first")).groupBy("_k").agg(F.min("_first").alias("_first"))
     return df.join(firsts.select("_first"), F.col(order) == F.col("_first"), "left_semi")
 
 
+def first_ids(df: DataFrame, key: dict[str, Column], order: str = "linha_csv") -> DataFrame:
+    """The ``order`` of the rows that come first: one aggregation, no second look at the rows."""
+    return df.groupBy(digest(key).alias("_k")).agg(F.min(order).alias(order)).select(order)
+
+
 def dedup_report(df: DataFrame, key: dict[str, Column], file_col: str) -> DataFrame:
     """Rows before and after deduplication inside each file, and the difference."""
-    digest = F.sha2(F.to_json(F.struct(*[v.alias(k) for k, v in key.items()])), 256)
-    distinct = df.select(F.col(file_col).alias("arquivo"), digest.alias("k")).groupBy("arquivo", "k").agg(F.count("*").alias("n"))
+    distinct = df.select(F.col(file_col).alias("arquivo"), digest(key).alias("k")).groupBy("arquivo", "k").agg(F.count("*").alias("n"))
     return distinct.groupBy("arquivo").agg(
         F.sum("n").alias("linhas_antes"), F.count("*").alias("linhas_depois"), (F.sum("n") - F.count("*")).alias("duplicatas_removidas"))
 
@@ -57,8 +70,7 @@ def complete_columns(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 
 def new_rows(existing: DataFrame, incoming: DataFrame, key: dict[str, Column]) -> DataFrame:
     """Rows of ``incoming`` whose key ``existing`` doesn't hold (left anti join on a digest)."""
-    digest = F.sha2(F.to_json(F.struct(*[v.alias(k) for k, v in key.items()])), 256)
-    return incoming.withColumn("_k", digest).join(existing.select(digest.alias("_k")), "_k", "left_anti").drop("_k")
+    return incoming.withColumn("_k", digest(key)).join(existing.select(digest(key).alias("_k")), "_k", "left_anti").drop("_k")
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, key: dict[str, Column], order: str = "linha_csv") -> DataFrame:

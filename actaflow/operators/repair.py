@@ -39,26 +39,42 @@ def run_counters(timeline: DataFrame) -> DataFrame:
     return timeline.agg(F.count("*").alias("atos"), F.count_distinct("nome_normalizado").alias("pessoas"), F.count_if("retorno").alias("retornos"), F.count_if(F.coalesce(secretary, F.lit(False))).alias("atos_secretaria"))
 
 
-def round_robin(queue: DataFrame) -> DataFrame:
-    """Turns across states: the k-th newest edition of every state comes in round k."""
-    return queue.selectExpr("arquivo", "uf", "row_number() OVER (PARTITION BY uf ORDER BY data_publicacao DESC, arquivo) AS rodada")
-
-
 def edition_governor(docs: DataFrame, known: list[str]) -> DataFrame:
     """``path, governador``: who governs by a document's whole text, computed once for each document.
 
-    An acting phrase goes first, then a signature line with the title, then the first known name (a
-    parameter list, tested in its order); otherwise the sentinel.
+    In this order: a name with the acting phrase; a heading ``Governador`` with the name in its line or the
+    next; a known name right behind the title; a signature line above the title; the first known name (a
+    parameter list, tested in its order) in a line with the title; the first known name anywhere. Otherwise
+    the sentinel.
     """
-    name = r"([A-ZÁÉÍÓÚÂÊÔÃÕÇ][\wÀ-ÿ]+(?: (?:d[aeo]s? )?[A-ZÁÉÍÓÚÂÊÔÃÕÇ][\wÀ-ÿ]+){1,6})"
+    word = r"[A-ZÁÉÍÓÚÂÊÔÃÕÇ][\wÀ-ÿ]+"
+    name = rf"({word}(?: (?:[Dd][aeo]s? )?{word}){{1,6}})"
     text = F.coalesce("text", F.lit(""))
+    found = lambda pattern: F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
     # Blanks are taken possessively: a long run of them costs its length, not its square.
-    acting = F.nullif(F.regexp_extract(text, rf"(?U){name}\s*+(?:,\s*+)?(?i:governador em exerc[ií]cio)", 1), F.lit(""))
-    signed = F.nullif(F.regexp_extract(text, rf"(?U){name}(?:\s*+,|[^\S\n]*+\n)\s*+(?i:governador(?: do estado)?)\b", 1), F.lit(""))
-    listed = F.lit(None).cast("string")
+    acting = F.coalesce(found(rf"(?mU)^[#\s]*+(?i:governador em exerc[ií]cio)\s*+:?\s*+{name}[^\S\n]*+$"), found(rf"(?U){name}\s*+(?:,\s*+)?(?i:governador em exerc[ií]cio)"))
+    heading = found(rf"(?mU)^[^\S\n]*+#*[^\S\n]*+(?:Governador|GOVERNADOR)[^\S\n]*+:?[^\S\n]*+\n?[^\S\n]*+#*[^\S\n]*+{name}[^\S\n]*+$")
+    signed = found(rf"(?U){name}(?:\s*+,|[^\S\n]*+\n)\s*+(?i:governador(?: do estado)?)\b(?!\s*+(?i:em exerc))")
+    behind, line, anywhere = F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("string")
     for person in reversed(known):
-        listed = F.when(F.contains(text, F.lit(person)), F.lit(person)).otherwise(listed)
-    return docs.select("path", F.coalesce(F.concat(acting, F.lit(" - Governador em exercicio")), F.concat(F.coalesce(signed, listed), F.lit(" - Governador")), F.lit(S.UNKNOWN)).alias("governador"))
+        here = F.lit(person)
+        behind = F.when(text.rlike(rf"(?is)(?<!vice-)governador\s.{{0,180}}?\Q{person}\E"), here).otherwise(behind)
+        line = F.when(text.rlike(rf"(?i)governador[^\n]*\Q{person}\E|\Q{person}\E[^\n]*governador"), here).otherwise(line)
+        anywhere = F.when(F.contains(text, here), here).otherwise(anywhere)
+    titled = F.coalesce(heading, behind, signed, line, anywhere)
+    return docs.select("path", F.coalesce(F.concat(acting, F.lit(" - Governador em exercicio")), F.concat(titled, F.lit(" - Governador")), F.lit(S.UNKNOWN)).alias("governador"))
+
+
+def with_governor(acts: DataFrame, editions: DataFrame) -> DataFrame:
+    """Acts with the governor columns computed anew from their edition (``path, governador``); city gazettes have none."""
+    from actaflow.functions import text as T
+
+    rows = acts.join(editions.select(F.col("path").alias("arquivo_markdown"), F.col("governador").alias("_g")), "arquivo_markdown", "left")
+    governor = F.coalesce("_g", "governador_edicao")
+    city = F.coalesce(F.col("municipio"), F.lit("")) != ""
+    blank = lambda c: F.when(city, "").otherwise(c)
+    new = {"governador_edicao": blank(governor), "representante_governo": blank(T.representative(governor)), "origem_representante": blank(T.origin(governor))}
+    return rows.select(*[new.get(c, F.col(c)).alias(c) for c in acts.columns])
 
 
 def pdf_payload(encoded: Column) -> Column:

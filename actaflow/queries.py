@@ -13,8 +13,11 @@ from actaflow.operators import dedup as D
 from actaflow.operators import editions as E
 from actaflow.operators import repair as R
 from actaflow.operators import timeline as L
+from actaflow.plans import cases as CASES
 from actaflow.plans import extract as X
+from actaflow.plans import pages as P
 from actaflow.runtime import table
+from actaflow.sources import lake as K
 
 MILESTONES = [("2026-01-01", "Gestao A"), ("2026-04-05", "Gestao B"), ("2026-10-01", "Gestao C")]
 NOW = "2026-06-15 12:00:00"
@@ -196,13 +199,38 @@ def _(spark, base):
     return acts(spark, base).select(F.explode(F.split(T.rejection_reasons(F.col("nome")), ";")).alias("motivo")).where("motivo <> ''").groupBy("motivo").agg(F.count("*").alias("atos"))
 
 
-@_query("clean_names")
+def _sql_lead(tokens: str, test: str) -> str:
+    """Tokens behind the first place that passes ``test`` and is followed by two words of letters."""
+    places = f"list_filter(range(1, len({tokens}) + 1), lambda i: ({test}) AND regexp_matches(coalesce({tokens}[i + 1], ''), '^\\p{{L}}{{2,}}$') AND regexp_matches(coalesce({tokens}[i + 2], ''), '^\\p{{L}}{{2}}'))"
+    return f"CASE WHEN len({places}) > 0 THEN {tokens}[{places}[1] + 1:] ELSE {tokens} END"
+
+
+def _sql_clean_names() -> str:
+    """Independent of the engine's expressions but for the word lists: every step is a query over lists."""
+    outer = "E' \\t\\r\\n,.;:-\\'\"'"
+    upper = f"trim(upper(strip_accents(x)), {outer[:-1]}()')"
+    words = lambda values: ", ".join(f"'{v}'" for v in values)
+    split_ = "s"
+    for a, b in T.SPLIT_NAMES:
+        split_ = f"regexp_replace({split_}, '(?i) {a} ', ' {b} ', 'g')"
+    return rf"""WITH a AS (SELECT linha_csv, ' ' || regexp_replace(replace(replace(regexp_replace(regexp_replace(nome, '(?i)<!--\s*image\s*-->', ' ', 'g'), '/U[0-9A-Fa-f]{{4}}', ' ', 'g'), '#', ' '), '-', ' - '), '[\s\x{{00a0}}]+', ' ', 'g') || ' ' AS s FROM doeg_2026),
+ b AS (SELECT linha_csv, list_filter(string_split({split_}, ' '), lambda x: x <> '') AS t FROM a),
+ c AS (SELECT linha_csv, {_sql_lead('t', f"ends_with(t[i], '.') AND len(list_filter(t[1:i], lambda x: {upper} = 'PROCESSO')) > 0")} AS t FROM b),
+ d AS (SELECT linha_csv, {_sql_lead('t', "ends_with(t[i], ':')")} AS t FROM c), e AS (SELECT linha_csv, {_sql_lead('t', "t[i] = '-'")} AS t FROM d),
+ f AS (SELECT linha_csv, t, list_transform(t, lambda x: {upper}) AS k FROM e),
+ g AS (SELECT linha_csv, t, list_filter(range(1, len(t) + 1), lambda i: concat_ws(' ', k[i], k[i + 1]) = 'PARA EXERCER' OR i > 1 AND (k[i] IN ({words(T.END_WORDS)}) OR concat_ws(' ', k[i], k[i + 1]) IN ({words(T.END_PAIRS)})
+  OR regexp_matches(k[i], '^\d[\d.\-/]*$') AND (regexp_matches(coalesce(t[i - 1], ''), '[:,-]$') OR i = len(t)) OR k[i] IN ({words(T.IDENTIFIERS)}) AND len(list_filter(k[i + 1:i + 3], lambda x: regexp_matches(x, '^[\p{{L}}º°.]*\d'))) > 0
+  OR regexp_matches(k[i], '^(?:ID|RG|CPF|MATR?)\d'))) AS fim FROM f)
+ SELECT linha_csv, trim(replace(array_to_string(CASE WHEN len(fim) > 0 THEN t[1:fim[1] - 1] ELSE t END, ' '), ' - ', '-'), {outer}) AS nome_limpo FROM g"""
+
+
+@_query("clean_names", _sql_clean_names())
 def _(spark, base):
     return acts(spark, base).select("linha_csv", T.clean_person_name(F.col("nome")).alias("nome_limpo"))
 
 
 for _name, _key, _sql in (("dedup_write_key", D.write_key, _WRITE), ("dedup_load_key", D.load_key, _LOAD), ("dedup_norm_key", D.maintenance_key, _MAINT)):
-    QUERIES[_name] = (lambda key: lambda spark, base: D.first_wins(acts(spark, base), key()).select("linha_csv"))(_key)
+    QUERIES[_name] = (lambda key: lambda spark, base: D.first_ids(acts(spark, base), key()))(_key)
     ORACLES[_name] = f"SELECT min(linha_csv) AS linha_csv FROM doeg_2026 GROUP BY {_sql}"
 
 
@@ -385,9 +413,15 @@ def _(spark, base):
     return A.degrees(act_returns(spark, base))
 
 
-@_query("stationary_vector")
+_CHAINED = """q AS (SELECT estado, prox_estado, n / sum(n) OVER (PARTITION BY estado) AS q FROM tr), names AS (SELECT estado FROM tr UNION SELECT prox_estado FROM tr),
+ m AS (SELECT estado, prox_estado, q FROM q UNION ALL SELECT estado, estado, 1.0 FROM names WHERE estado NOT IN (SELECT estado FROM tr)),
+ v(k, estado, p) AS (SELECT 0, estado, CAST(1.0 AS DOUBLE) / (SELECT count(*) FROM names) FROM names
+  UNION ALL SELECT * FROM (WITH old AS (SELECT * FROM v) SELECT old.k + 1, m.prox_estado, sum(old.p * m.q) FROM old JOIN (SELECT estado, prox_estado, q / 2 AS q FROM m UNION ALL SELECT estado, estado, 0.5 FROM names) AS m USING (estado) WHERE old.k < 400 GROUP BY 1, 2))"""
+
+
+@_query("stationary_vector", f"{_CHAIN.replace('WITH ', 'WITH RECURSIVE ', 1)}, {_CHAINED} SELECT estado, round(p, 4) AS p FROM v WHERE k = 400")
 def _(spark, base):
-    return A.stationary_vector(act_returns(spark, base))
+    return A.stationary_vector(act_returns(spark, base)).select("estado", F.round("p", 4).alias("p"))
 
 
 @_query("label_occurrence", """SELECT arquivo, CASE WHEN k = 1 THEN caderno WHEN regexp_matches(caderno, '(?i)\\b(?:complementar|suplemento|extra)\\b') THEN caderno || ' ' || k ELSE caderno || ' - Edicao ' || k END AS rotulo
@@ -407,24 +441,9 @@ def _(spark, base):
     return rows.join(F.broadcast(terms), F.col("d").between(F.col("de"), F.col("ate")), "left").select("arquivo", "gestao")  # a parameter list
 
 
-_NEEDLES = ["Gazeta Oficial", "Protocolo", "livro"]
-_NEEDLE_CASE = " ".join(f"WHEN contains(trecho, '{n}') THEN '{n}'" for n in _NEEDLES)
-
-
-@_query("known_name_contains", f"SELECT CASE {_NEEDLE_CASE} ELSE '' END AS achado, count(*) AS atos FROM doeg_2026 GROUP BY 1")
-def _(spark, base):
-    hit = F.lit("")
-    for n in reversed(_NEEDLES):
-        hit = F.when(F.contains("trecho", F.lit(n)), n).otherwise(hit)
-    return acts(spark, base).groupBy(hit.alias("achado")).agg(F.count("*").alias("atos"))
-
-
 @_query("contextual_signer_asof", "SELECT linha_csv, last_value(nullif(cargo_assinante, '') IGNORE NULLS) OVER (PARTITION BY arquivo_markdown ORDER BY linha_csv ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cargo_contexto FROM doeg_2026")
 def _(spark, base):
-    from pyspark.sql import Window
-
-    by = Window.partitionBy("arquivo_markdown").orderBy("linha_csv").rowsBetween(Window.unboundedPreceding, 0)
-    return acts(spark, base).select("linha_csv", F.last(F.nullif(F.col("cargo_assinante"), F.lit("")), ignorenulls=True).over(by).alias("cargo_contexto"))
+    return E.carried_forward(acts(spark, base), "arquivo_markdown", "linha_csv", "cargo_assinante").withColumnRenamed("contexto", "cargo_contexto")
 
 
 @_query("queue_pop", f"SELECT arquivo, data_publicacao, tentativas FROM edicoes WHERE estado IN ('pendente', 'erro') AND (disponivel_em IS NULL OR disponivel_em <= TIMESTAMP '{NOW}') ORDER BY data_publicacao DESC, tentativas, arquivo LIMIT 1")
@@ -475,9 +494,10 @@ def _(spark, base):
     return A.period_label(mov(spark, base))
 
 
-@_query("complete_columns", "SELECT linha_csv, coalesce(nome, '') AS nome, '' AS coluna_nova FROM doeg_2026")
+@_query("complete_columns", "SELECT coalesce(estado, '') AS estado, coalesce(autoria_ato, '') AS autoria_ato, coalesce(cargo, '') AS cargo, '' AS trecho, count(*) AS linhas FROM movimentacoes GROUP BY ALL")
 def _(spark, base):
-    return acts(spark, base).select("linha_csv", F.coalesce("nome", F.lit("")).alias("nome")).withColumn("coluna_nova", F.lit(""))
+    rows = D.complete_columns(mov(spark, base), ("estado", "autoria_ato", "cargo", "trecho"))
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("linhas"))
 
 
 @_query("top_representatives", f"SELECT * FROM (SELECT *, nomeacao - exoneracao AS saldo, nomeacao + exoneracao AS atos FROM (SELECT representante_governo, {_BAL} FROM movimentacoes GROUP BY 1)) ORDER BY atos DESC, representante_governo LIMIT 5")
@@ -506,7 +526,7 @@ def _(spark, base):
 
 @_query("round_robin", "SELECT arquivo, uf, CAST(row_number() OVER (PARTITION BY uf ORDER BY data_publicacao DESC, arquivo) AS INTEGER) AS rodada FROM edicoes")
 def _(spark, base):
-    return R.round_robin(editions(spark, base))
+    return E.turns(editions(spark, base))
 
 
 @_query("edition_governor")
@@ -529,6 +549,234 @@ def _(spark, base):
     return X.extract_acts(acts(spark, base).select(F.col("linha_csv").alias("doc_id"), "estado", F.col("trecho").alias("text")))
 
 
-@_query("page_text")
+@_query("page_text", r"SELECT doc_id, trim(regexp_replace(replace(replace(replace(replace(regexp_replace(coalesce(text, ''), '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '[\s\x{00a0}\x{2028}\x{0085}]+', ' ', 'g')) AS texto FROM documents")
+def _(spark, base):
+    return table(spark, base, "documents").select("doc_id", P.unescape_html(F.col("text")).alias("texto"))
+
+
+# ---------------------------------------------------------------- smaller operators
+
+
+_FLAT = _sql_norm("caderno")
+
+
+@_query("entity_filter", "SELECT linha_csv FROM doeg_2026 WHERE contains(coalesce(spacy_entidades, ''), ':PER') OR trim(coalesce(spacy_entidades, '')) = ''")
+def _(spark, base):
+    return C.entity_filter(acts(spark, base)).select("linha_csv")
+
+
+@_query("recognition_filter", "SELECT linha_csv FROM doeg_2026 WHERE coalesce(spacy_pessoa, '') <> 'nao'")
+def _(spark, base):
+    return C.recognised(acts(spark, base), "filter").select("linha_csv")
+
+
+@_query("recognition_reasons", f"SELECT motivo_rejeicao, count(*) AS atos FROM (SELECT CASE WHEN {_sql_reasons(_NOME)} = '' AND coalesce(spacy_pessoa, '') NOT IN ('sim', 'indisponivel') THEN 'spacy_nao_confirmou_pessoa' ELSE {_sql_reasons(_NOME)} END AS motivo_rejeicao FROM doeg_2026) GROUP BY 1")
+def _(spark, base):
+    return C.recognised(acts(spark, base), "filtrar").groupBy("motivo_rejeicao").agg(F.count("*").alias("atos"))
+
+
+@_query("section_filter", f"SELECT arquivo FROM edicoes WHERE contains({_FLAT}, 'EXECUTIVO')")
+def _(spark, base):
+    return C.by_section(editions(spark, base), "executivo").select("arquivo")
+
+
+@_query("section_start", f"SELECT arquivo FROM edicoes WHERE starts_with({_FLAT}, 'CADERNO')")
+def _(spark, base):
+    return C.by_section(editions(spark, base), "Caderno", start=True).select("arquivo")
+
+
+@_query("real_people", "SELECT linha_csv FROM doeg_2026 WHERE NOT coalesce(upper(string_split(nome, ' ')[1]) IN ('COMPROMISSO', 'MESMA', 'PROVAS', 'SUAS', 'OS'), false)")
+def _(spark, base):
+    return C.real_people(acts(spark, base), ("COMPROMISSO", "MESMA", "PROVAS", "SUAS", "OS")).select("linha_csv")
+
+
+@_query("states_with_both", "SELECT DISTINCT estado FROM movimentacoes WHERE estado IN (SELECT uf FROM edicoes)")
+def _(spark, base):
+    return C.states_with_both(mov(spark, base), editions(spark, base).select(F.col("uf").alias("estado")))
+
+
+@_query("consolidated_by_state", "SELECT pessoa, data_movimentacao FROM movimentacoes WHERE estado = 'GO'")
+def _(spark, base):
+    return A.filtered(mov(spark, base), estado=["GO"]).select("pessoa", "data_movimentacao")
+
+
+@_query("processed_range", "SELECT min(try_cast(data_publicacao AS DATE)) AS primeira, DATE '2026-09-30' AS ultima FROM doeg_2026")
+def _(spark, base):
+    rows = acts(spark, base).select(F.try_to_date("data_publicacao", "yyyy-MM-dd").alias("d"))
+    return C.processed_range(rows, "d", high="2026-09-30")
+
+
+@_query("incremental_rows", f"""WITH a AS (SELECT *, try_cast(data_publicacao AS DATE) AS data, md5(concat_ws('|', {_LOAD})) AS k FROM doeg_2026), old AS (SELECT * FROM a WHERE linha_csv % 2 = 0 AND data BETWEEN DATE '2026-03-01' AND DATE '2026-09-30')
+ SELECT linha_csv FROM a WHERE linha_csv % 2 = 1 AND (NOT coalesce(data BETWEEN (SELECT min(data) FROM old) AND (SELECT max(data) FROM old), false) OR k NOT IN (SELECT k FROM old))""")
+def _(spark, base):
+    a = acts(spark, base).withColumn("data", F.try_to_date("data_publicacao", "yyyy-MM-dd"))
+    old = a.where("linha_csv % 2 = 0").where(L.in_range(F.col("data"), "2026-03-01", "2026-09-30"))
+    return C.incremental_rows(old, a.where("linha_csv % 2 = 1")).select("linha_csv")
+
+
+@_query("short_labels", f"SELECT DISTINCT governador_edicao, CASE WHEN len(w) > 1 THEN w[1] || ' ' || w[-1] ELSE r END AS curto FROM (SELECT governador_edicao, {_REP} AS r, string_split(regexp_replace({_REP}, ' +', ' ', 'g'), ' ') AS w FROM doeg_2026)")
 def _(spark, base):
-    return table(spark, base, "documents").select("doc_id", X.unescape_html(F.col("text")).alias("texto"))
+    return acts(spark, base).select("governador_edicao", T.short_name(F.col("governador_edicao")).alias("curto")).distinct()
+
+
+@_query("short_governor", """SELECT DISTINCT g AS governador_edicao, CASE WHEN contains(g, ' - ') THEN CASE WHEN len(w) > 1 THEN w[1] || ' ' || w[-1] ELSE split_part(g, ' - ', 1) END || substr(g, strpos(g, ' - ')) ELSE g END AS curto
+ FROM (SELECT g, string_split(regexp_replace(trim(split_part(g, ' - ', 1)), ' +', ' ', 'g'), ' ') AS w FROM (SELECT trim(coalesce(nullif(governador_edicao, ''), 'Nao identificado')) AS g FROM doeg_2026))""")
+def _(spark, base):
+    g = F.trim(F.coalesce(F.nullif("governador_edicao", F.lit("")), F.lit(S.UNKNOWN)))
+    return acts(spark, base).select(g.alias("governador_edicao"), T.short_governor(F.col("governador_edicao")).alias("curto")).distinct()
+
+
+@_query("axis_mode", "SELECT CASE WHEN list_sort(list(DISTINCT origem_representante) FILTER (WHERE origem_representante IS NOT NULL)) = ['Setor'] THEN 'Setor' ELSE 'Governo' END AS eixo FROM movimentacoes")
+def _(spark, base):
+    return A.axis_mode(mov(spark, base))
+
+
+_ORDERED_FLOW = """f AS (SELECT representante_origem, tipo_ato, CASE WHEN tipo_ato = 'exoneracao' THEN -count(*) ELSE count(*) END AS fluxo FROM m WHERE representante_origem IS NOT NULL AND tipo_ato IS NOT NULL GROUP BY representante_origem, tipo_ato),
+ s AS (SELECT representante_origem, CAST(sum(abs(fluxo)) AS BIGINT) AS soma_abs FROM f GROUP BY 1), o AS (SELECT *, CAST(row_number() OVER (ORDER BY soma_abs DESC, representante_origem) AS INTEGER) AS posicao FROM s)"""
+
+
+@_query("flow_order", f"WITH m AS (SELECT * FROM movimentacoes), {_ORDERED_FLOW} SELECT * FROM f JOIN o USING (representante_origem)")
+def _(spark, base):
+    return A.flow_order(mov(spark, base))
+
+
+@_query("sector_top10", f"WITH m AS (SELECT orgao AS representante_origem, tipo_ato FROM movimentacoes), {_ORDERED_FLOW} SELECT * FROM f JOIN o USING (representante_origem) WHERE posicao <= 10")
+def _(spark, base):
+    return A.flow_order(mov(spark, base).select(F.col("orgao").alias("representante_origem"), F.lit("Setor").alias("origem_representante"), "tipo_ato"))
+
+
+@_query("extreme_balances", f"WITH b AS (SELECT *, nomeacao - exoneracao AS saldo FROM (SELECT representante_governo, {_BAL} FROM movimentacoes GROUP BY 1)) SELECT (SELECT representante_governo FROM b WHERE representante_governo IS NOT NULL ORDER BY saldo DESC, 1 LIMIT 1) AS maior, (SELECT representante_governo FROM b WHERE representante_governo IS NOT NULL ORDER BY saldo, 1 LIMIT 1) AS menor")
+def _(spark, base):
+    return A.extreme_balances(mov(spark, base))
+
+
+@_query("top10_transitions", f"{_CHAIN} SELECT * FROM tr ORDER BY n DESC, estado, prox_estado LIMIT 10")
+def _(spark, base):
+    return A.top_transitions(act_returns(spark, base), 10)
+
+
+@_query("option_union", "SELECT cargo AS valor FROM movimentacoes WHERE cargo <> '' UNION SELECT cargo FROM doeg_2026 WHERE cargo <> ''")
+def _(spark, base):
+    return A.option_union(mov(spark, base), acts(spark, base), "cargo")
+
+
+@_query("latest_of_month", "SELECT CAST(date_trunc('month', data_movimentacao) AS DATE) AS mes, max(data_movimentacao) AS ultimo FROM movimentacoes WHERE data_movimentacao IS NOT NULL GROUP BY 1")
+def _(spark, base):
+    return A.latest_of_month(mov(spark, base))
+
+
+@_query("month_type_count", "SELECT CAST(date_trunc('month', data_movimentacao) AS DATE) AS mes, tipo_ato, count(*) AS quantidade FROM movimentacoes WHERE data_movimentacao IS NOT NULL AND tipo_ato IS NOT NULL GROUP BY 1, 2")
+def _(spark, base):
+    return A.count_by(mov(spark, base).withColumn("mes", F.trunc("data_movimentacao", "MM")), "mes", "tipo_ato")
+
+
+@_query("yes_no", "SELECT linha_csv, CASE lower(trim(nome_parse_confiavel)) WHEN 'sim' THEN true WHEN 'nao' THEN false WHEN 'não' THEN false END AS confiavel FROM doeg_2026")
+def _(spark, base):
+    return acts(spark, base).select("linha_csv", T.yes_no(F.col("nome_parse_confiavel")).alias("confiavel"))
+
+
+@_query("milestone_parse", "SELECT linha_csv, try_cast(data_publicacao AS DATE) AS data, CASE WHEN linha_csv % 2 = 0 THEN trim(caderno) ELSE data_publicacao END AS marco FROM doeg_2026")
+def _(spark, base):
+    written = F.when(F.col("linha_csv") % 2 == 0, F.concat_ws(":", "data_publicacao", "caderno")).otherwise(F.col("data_publicacao"))
+    return acts(spark, base).select("linha_csv", T.milestone(written).alias("m")).select("linha_csv", "m.*")
+
+
+@_query("long_dates", r"""WITH t AS (SELECT linha_csv, lower(strip_accents(trecho)) AS t FROM doeg_2026), p AS (SELECT linha_csv, regexp_extract(t, '(\d{1,2})[oº]? +de +(janeiro|fevereiro|marco|abril|maio|junho|julho|agosto|setembro|outubro|novembro|dezembro) +de +(\d{4})', ['d', 'm', 'y']) AS x FROM t)
+ SELECT linha_csv, try_cast(x.y || '-' || list_position(['janeiro', 'fevereiro', 'marco', 'abril', 'maio', 'junho', 'julho', 'agosto', 'setembro', 'outubro', 'novembro', 'dezembro'], x.m) || '-' || x.d AS DATE) AS data FROM p""")
+def _(spark, base):
+    return acts(spark, base).select("linha_csv", T.long_date(F.col("trecho")).alias("data"))
+
+
+@_query("ordered_entities", "SELECT linha_csv, array_to_string(list_transform(list_filter(range(1, len(e) + 1), lambda i: e[i] <> '' AND list_position(e, e[i]) = i), lambda i: e[i]), '|') AS entidades FROM (SELECT linha_csv, string_split(coalesce(spacy_entidades, ''), '|') AS e FROM doeg_2026)")
+def _(spark, base):
+    return acts(spark, base).select("linha_csv", T.ordered_entities(F.col("spacy_entidades")).alias("entidades"))
+
+
+@_query("dedup_totals", f"SELECT CAST(count(*) AS BIGINT) AS linhas_antes, CAST(count(DISTINCT md5(concat_ws('|', arquivo_markdown, {_MAINT}))) AS BIGINT) AS linhas_depois, CAST(count(*) - count(DISTINCT md5(concat_ws('|', arquivo_markdown, {_MAINT}))) AS BIGINT) AS duplicatas_removidas FROM doeg_2026")
+def _(spark, base):
+    return K.dedup_totals(D.dedup_report(acts(spark, base), D.maintenance_key(), "arquivo_markdown"))
+
+
+@_query("new_key_count", f"SELECT count(DISTINCT md5(concat_ws('|', {_WRITE}))) AS novas FROM doeg_2026 WHERE data_publicacao >= '2026-07-01' AND md5(concat_ws('|', {_WRITE})) NOT IN (SELECT md5(concat_ws('|', {_WRITE})) FROM doeg_2026 WHERE data_publicacao < '2026-07-01')")
+def _(spark, base):
+    a = acts(spark, base)
+    fresh = D.new_rows(a.where("data_publicacao < '2026-07-01'"), a.where("data_publicacao >= '2026-07-01'"), D.write_key())
+    return D.first_ids(fresh, D.write_key()).agg(F.count("*").alias("novas"))
+
+
+@_query("rejected_rows", f"SELECT linha_csv, estado, tipo_ato, nome, cargo, orgao, arquivo_markdown, motivo_rejeicao FROM (SELECT *, {_sql_reasons(_NOME)} AS motivo_rejeicao FROM doeg_2026) WHERE motivo_rejeicao <> ''")
+def _(spark, base):
+    a = acts(spark, base)
+    return L.rejected_names(a).drop("nome").join(a, "linha_csv").select("linha_csv", "estado", "tipo_ato", "nome", "cargo", "orgao", "arquivo_markdown", "motivo_rejeicao")
+
+
+_READY = f"estado IN ('pendente', 'erro') AND (disponivel_em IS NULL OR disponivel_em <= TIMESTAMP '{NOW}')"
+
+
+@_query("queue_claim", f"WITH c AS (SELECT arquivo FROM edicoes WHERE {_READY} ORDER BY data_publicacao DESC, tentativas, arquivo LIMIT 5) SELECT arquivo, CASE WHEN arquivo IN (SELECT arquivo FROM c) THEN 'processando' ELSE estado END AS estado FROM edicoes")
+def _(spark, base):
+    return E.claim(editions(spark, base), NOW, 5).select("arquivo", "estado")
+
+
+@_query("queue_finish", f"SELECT arquivo, CASE WHEN estado = 'processando' THEN 'concluido' ELSE estado END AS estado, CASE WHEN estado = 'processando' THEN '' ELSE erro END AS erro, CASE WHEN estado = 'processando' THEN TIMESTAMP '{NOW}' ELSE atualizado_em END AS atualizado_em FROM edicoes")
+def _(spark, base):
+    q = editions(spark, base)
+    return E.finish(q, q.where("estado = 'processando'"), NOW).select("arquivo", "estado", "erro", "atualizado_em")
+
+
+@_query("queue_recover", "SELECT arquivo, CASE WHEN estado = 'processando' THEN 'pendente' ELSE estado END AS estado FROM edicoes")
+def _(spark, base):
+    return E.recover(editions(spark, base), NOW).select("arquivo", "estado")
+
+
+@_query("queue_register", f"""WITH n AS (SELECT arquivo, url || '?v=2' AS url FROM edicoes WHERE uf = 'GO' UNION ALL SELECT arquivo || '.novo', url FROM edicoes WHERE uf <> 'GO')
+ SELECT coalesce(e.arquivo, n.arquivo) AS arquivo, coalesce(n.url, e.url) AS url, coalesce(e.estado, 'pendente') AS estado, coalesce(e.tentativas, 0) AS tentativas FROM edicoes e FULL JOIN n USING (arquivo)""")
+def _(spark, base):
+    q = editions(spark, base)
+    new = q.where("uf = 'GO'").withColumn("url", F.concat("url", F.lit("?v=2"))).unionByName(q.where("uf <> 'GO'").withColumn("arquivo", F.concat("arquivo", F.lit(".novo"))))
+    return E.register(q, new, NOW).select("arquivo", "url", "estado", "tentativas")
+
+
+@_query("queue_failed", f"""SELECT arquivo, CASE WHEN estado = 'processando' THEN 'erro' ELSE estado END AS estado, CASE WHEN estado = 'processando' THEN tentativas + 1 ELSE tentativas END AS tentativas,
+ CASE WHEN estado = 'processando' THEN TIMESTAMP '{NOW}' + to_minutes(CAST(least(360, 5 * pow(2, least(tentativas, 6))) AS INTEGER)) ELSE disponivel_em END AS disponivel_em FROM edicoes""")
+def _(spark, base):
+    q = editions(spark, base)
+    return E.after_failure(q, q.where("estado = 'processando'").select("arquivo", F.lit("lost").alias("erro")), NOW).select("arquivo", "estado", "tentativas", "disponivel_em")
+
+
+@_query("paused_until", "SELECT caderno, max(registrado_em) + INTERVAL 30 MINUTE AS pausa_ate FROM falhas GROUP BY 1")
+def _(spark, base):
+    return E.paused_until(table(spark, base, "falhas"), "caderno")
+
+
+@_query("merged_by_date", "SELECT arquivo, CAST(row_number() OVER (ORDER BY data_publicacao DESC, uf, arquivo) AS INTEGER) AS posicao FROM edicoes")
+def _(spark, base):
+    return E.merged_by_date(editions(spark, base))
+
+
+@_query("wanted_dates", "SELECT DISTINCT try_cast(data_publicacao AS DATE) AS dia FROM edicoes WHERE try_cast(data_publicacao AS DATE) BETWEEN DATE '2026-02-01' AND DATE '2026-08-31' AND isodow(try_cast(data_publicacao AS DATE)) < 6")
+def _(spark, base):
+    return E.wanted_dates(editions(spark, base).select(F.try_to_date("data_publicacao", "yyyy-MM-dd").alias("dia")), "2026-02-01", "2026-08-31", weekdays_only=True)
+
+
+@_query("file_names", r"SELECT arquivo, try_cast(regexp_extract(arquivo, '_(\d{4}-\d{2}-\d{2})\.md$', 1) AS DATE) AS data, regexp_extract(arquivo, '/([A-Z]{2})/\d{4}/\d{2}/[^/]+$', 1) AS uf FROM edicoes")
+def _(spark, base):
+    name = F.element_at(F.split("arquivo", "/"), -1)
+    return editions(spark, base).select("arquivo", K.file_date(name).alias("data"), F.regexp_extract("arquivo", r"/([A-Z]{2})/\d{4}/\d{2}/[^/]+$", 1).alias("uf"))
+
+
+@_query("needs_ocr", r"SELECT doc_id, length(regexp_replace(coalesce(text, ''), '<!--(?s:.*?)-->|\s+', '', 'g')) < greatest(500, 10 * 80) AS ocr FROM documents")
+def _(spark, base):
+    return table(spark, base, "documents").select("doc_id", X.needs_ocr(F.coalesce("text", F.lit("")), F.lit(10)).alias("ocr"))
+
+
+@_query("governor_columns", f"""WITH g AS (SELECT CASE WHEN municipio <> '' THEN '' WHEN linha_csv = 1 THEN 'Sergio Cabral - Governador' ELSE governador_edicao END AS governador_edicao, municipio FROM (SELECT * EXCLUDE linha_csv, CASE WHEN arquivo_markdown LIKE '%1.md' THEN 1 ELSE 0 END AS linha_csv FROM doeg_2026))
+ SELECT governador_edicao, CASE WHEN municipio <> '' THEN '' ELSE {_REP} END AS representante_governo, CASE WHEN municipio <> '' THEN '' ELSE {_ORIGIN} END AS origem_representante, count(*) AS atos FROM g GROUP BY ALL""")
+def _(spark, base):
+    a = acts(spark, base)
+    known = a.where("arquivo_markdown LIKE '%1.md'").select(F.col("arquivo_markdown").alias("path"), F.lit("Sergio Cabral - Governador").alias("governador")).distinct()
+    return R.with_governor(a, known).groupBy("governador_edicao", "representante_governo", "origem_representante").agg(F.count("*").alias("atos"))
+
+
+QUERIES.update(CASES.QUERIES)
+ORACLES.update(CASES.ORACLES)

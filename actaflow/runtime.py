@@ -1,4 +1,4 @@
-"""Session helpers shared by every operator: reading tables and cutting lineage."""
+"""Session helpers shared by every operator: reading tables, shipping code, cutting lineage."""
 
 from __future__ import annotations
 
@@ -32,9 +32,11 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor sees; ``spark.checkpoint.dir`` where the cluster sets it."""
+    """Folder every executor sees: ``spark.checkpoint.dir``. Only a local master may do without it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + os.path.join(tempfile.gettempdir(), "actaflow-shared")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -43,11 +45,13 @@ def shared_folder(spark: SparkSession) -> str:
 def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which ends its lineage.
 
-    A lost executor then costs a file read instead of a recomputation.
+    A lost executor then costs a file read instead of a recomputation. The files go when the session's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -58,5 +62,3 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-

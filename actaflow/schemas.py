@@ -24,13 +24,16 @@ ORIGINS = {
 }
 #: Words that make a name suspicious, anywhere or at its start, and phrases (fixed values; accents are folded before the test).
 ADMINISTRATIVE_TERMS = (
-    "AGENTE ANALISTA ANEXO ASSESSOR ASSISTENTE ATO AUDITOR BOLETIM CANDIDATOS CANDIDATAS CARGO CARGOS CHEFE COMISSAO CONFORME COORDENADOR DECRETO "
-    "DEPARTAMENTO DIRETOR ESTADO EXTRATO FUNCAO FUNCIONAL GABINETE ID INTERNO LOTADA LOTADO MATR MATRICULA MEMBROS PORTARIA PROCESSO PROFISSIONAIS "
-    "RESOLUCAO SECRETARIA SERVIDOR SERVIDORES SERVIDORA SIMBOLO SUBSECRETARIA VAGA VINCULADA VINCULADO ABAIXO ADMINISTRACAO ADMINISTRATIVA "
-    "ADMINISTRATIVO COMUNICACAO DESCRITA DESCRITO DESCRITOS DOCENTE FAPERJ FINANCEIRA FINANCEIRO FINANCAS INTERNA LISTADOS MENCIONADA PROMOCAO "
-    "RELACIONADA RELACIONADO RELACIONADOS VERBA"
-).split()
-SUSPICIOUS_STARTS = "A AS COM CONFORME DE DESTA DO EM OS POR QUE SERVIDOR SERVIDORES VINCULADA VINCULADO ABAIXO".split()
+    "AGENTE", "ANALISTA", "ANEXO", "ASSESSOR", "ASSISTENTE", "ATO", "AUDITOR", "BOLETIM", "CANDIDATOS", "CANDIDATAS", "CARGO", "CARGOS", "CHEFE",
+    "COMISSAO", "CONFORME", "COORDENADOR", "DECRETO", "DEPARTAMENTO", "DIRETOR", "ESTADO", "EXTRATO", "FUNCAO", "FUNCIONAL", "GABINETE", "ID",
+    "INTERNO", "LOTADA", "LOTADO", "MATR", "MATRICULA", "MEMBROS", "PORTARIA", "PROCESSO", "PROFISSIONAIS", "RESOLUCAO", "SECRETARIA", "SERVIDOR",
+    "SERVIDORES", "SERVIDORA", "SIMBOLO", "SUBSECRETARIA", "VAGA", "VINCULADA", "VINCULADO", "ABAIXO", "ADMINISTRACAO", "ADMINISTRATIVA",
+    "ADMINISTRATIVO", "COMUNICACAO", "DESCRITA", "DESCRITO", "DESCRITOS", "DOCENTE", "FAPERJ", "FINANCEIRA", "FINANCEIRO", "FINANCAS", "INTERNA",
+    "LISTADOS", "MENCIONADA", "PROMOCAO", "RELACIONADA", "RELACIONADO", "RELACIONADOS", "VERBA",
+)
+SUSPICIOUS_STARTS = (
+    "A", "AS", "COM", "CONFORME", "DE", "DESTA", "DO", "EM", "OS", "POR", "QUE", "SERVIDOR", "SERVIDORES", "VINCULADA", "VINCULADO", "ABAIXO",
+)
 ADMINISTRATIVE_PHRASES = (
     "DO CARGO", "DA FUNCAO", "PARA EXERCER", "A CONTAR", "ID FUNC", "PROCESSO", "SECRETARIA DE ESTADO", "EM VAGA", "ATO PROPRIO",
     "CANDIDATOS", "CANDIDATAS", "MEMBROS", "SERVIDORES",
