@@ -248,6 +248,14 @@ def test_contexts_equal_brute_force(spark, acts, monkeypatch, most):
     assert got.keys() == {(n, gram) for (n, _), gram in names.items()}
 
 
+def test_a_second_heap_of_complete_ends_is_no_heap_of_cuts(spark):
+    heaps = [(-2.5, 500), (1.0, 500), (-7.0, 5)]
+    ends = spark.createDataFrame([(i, "trecho", f"fim {h}.", "pt") for h, n in heaps for i in range(n)], "linha_csv bigint, campo string, fim string, lingua string")
+    scores = spark.createDataFrame([("trecho", f"fim {h}.", h, False) for h, _ in heaps], "campo string, fim string, log_odds double, na_palavra boolean")
+    planted = spark.createDataFrame([("trecho", f"fim {h}.", "pt", h) for h in (-2.5,) * 60 + (-7.0,) * 40], "campo string, fim string, lingua string, log_odds double")
+    assert -7 < truncation.thresholds(ends, scores, planted)["trecho", "pt", True] <= -2.5
+
+
 def test_planted_cuts_are_found(spark):
     """Cuts planted in values of one table are found at the same thresholds (held out from those that fitted them)."""
     df = table(spark, "/root/testdata/sf0.01", "doeg_2026").select("linha_csv", "trecho", "orgao", "fonte_url")
