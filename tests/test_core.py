@@ -227,8 +227,10 @@ def test_stationary_vectors_agree(spark, base):
 
     ret = act_returns(spark, base)
     one = {r.estado: r.p for r in A.stationary_vector(ret).collect()}
-    two = {r.estado: r.p for r in A.stationary_vector(ret, most=0).collect()}
-    assert one.keys() == two.keys() and all(abs(one[k] - two[k]) < 1e-6 for k in one)
+    two = {r.estado: r.p for r in A.stationary_by_joins(A.transitions(ret), tolerance=1e-4).collect()}
+    assert one.keys() == two.keys() and all(abs(one[k] - two[k]) < 1e-2 for k in one)
+    cycle = spark.createDataFrame([("a", "b", 1), ("b", "a", 1), ("b", "c", 0)], "estado string, prox_estado string, n bigint").where("n > 0")
+    assert {r.estado: round(r.p, 3) for r in A.stationary_by_joins(cycle).collect()} == {"a": 0.5, "b": 0.5}
 
 
 def test_chosen_options(spark):
