@@ -93,9 +93,10 @@ _BEHIND = frozenset("MATRICULA MASP RG CPF ID IDENTIFICACAO PORTADOR PORTADORA I
 
 @lru_cache(maxsize=200_000)
 def folded(word: str) -> str:
-    """Upper case without accents and outer marks."""
-    plain = "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c))
-    return plain.upper().strip(" \t,.;:-–—'\"“”()[]|#*")
+    """Upper case without accents, outer marks and endings in parentheses (``nomeado(a)``)."""
+    plain = "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c)).upper()
+    plain = re.sub(r"(?<=[A-Z]{3})\((?:AS?|OS?|E?S)\)", "", plain)
+    return plain.strip(" \t,.;:-–—'\"“”()[]|#*")
 
 
 @dataclass(frozen=True)
@@ -141,6 +142,7 @@ def plausible_signer(name: str) -> bool:
 
 
 _MARK = ",;:.|"
+_INITIAL = re.compile(r"[^\W\d_]\.")
 
 
 def _capital(w: Word) -> bool:
@@ -156,7 +158,7 @@ def name_runs(words: list[Word]) -> list[tuple[int, int]]:
             i += 1
             continue
         j = i + 1
-        while j < len(words) and words[j - 1].text[-1] not in _MARK and (_capital(words[j]) or words[j].key in CONNECTORS and j + 1 < len(words) and words[j].text[-1] not in _MARK):
+        while j < len(words) and (words[j - 1].text[-1] not in _MARK or _INITIAL.fullmatch(words[j - 1].text)) and (_capital(words[j]) or words[j].key in CONNECTORS and j + 1 < len(words) and words[j].text[-1] not in _MARK):
             j += 1
         while j > i + 1 and words[j - 1].key in CONNECTORS:
             j -= 1

@@ -112,6 +112,7 @@ def test_extraction():
     ("NOMEAR os FUNCIONÁRIOS ABAIXO RELACIONADOS: NOME RG LF CARGO\nANA LIMA REIS 12.345-6 1 ASSESSOR\nEVA PRADO LIMA 22.345-6 1 CHEFE\nRUI BARROS REIS 32.345-6 2 CHEFE\n", "PR", ["ANA LIMA REIS", "EVA PRADO LIMA", "RUI BARROS REIS"]),
     ("Nomeados: 123456 ANA LIMA REIS Assessor. Exonerada a servidora EVA PRADO LIMA, matrícula 9.", "BA", ["ANA LIMA REIS", "EVA PRADO LIMA"]),
     ("NOMEADO COMPROMISSO DE POSSE, para o cargo; a candidata EVA PRADO LIMA, classificada.", "CE", ["EVA PRADO LIMA"]),
+    ("Fica nomeado(a) VÂNIA D. REIS LIMA, matrícula 7, para ocupar a vaga de Chefe.", "GO", ["VÂNIA D. REIS LIMA"]),
     ("", "RJ", []),
 ])
 def test_names_of_acts(text, state, names):
