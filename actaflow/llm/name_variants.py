@@ -46,6 +46,14 @@ NICKNAMES = {
 TYPO_ODDS = 10.0
 
 
+def meeting(a: DataFrame, b: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join of which neither side is sent to the driver to be broadcast.
+
+    Spark sizes a side by its compressed file, of which these keys and words take many times the space in memory.
+    """
+    return a.join(b.hint("merge"), on, how)
+
+
 def spelling(text: str) -> str:
     """NFKD, combining marks dropped, upper case, runs of non-letters as one blank, trimmed."""
     folded = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).upper()
@@ -63,7 +71,7 @@ def spellings(acts: DataFrame, fields: tuple[str, ...]) -> DataFrame:
     values = acts.selectExpr(f"stack({len(fields)}, {pairs}) AS (campo, valor)").where("trim(valor) <> ''").groupBy("campo", "valor").agg(F.count("*").alias("n"))
     values = cut(values, "values")
     garbled = restored(values.select("valor").distinct().select(F.lit(0).alias("id"), F.lit("nome").alias("campo"), "valor"))
-    values = values.join(garbled.select("valor"), "valor", "left_anti")
+    values = meeting(values, garbled.select("valor"), "valor", "left_anti")
     rows = values.mapInPandas(_spell, "campo string, grafia string, n bigint").groupBy("campo", "grafia").agg(F.sum("n").alias("n"))
     words = F.split("grafia", " ")
     end = F.array(*[F.lit(w) for w in PARTICLES])
@@ -90,7 +98,7 @@ def word_readings(rows: DataFrame) -> DataFrame:
     words = cut(names.select(F.explode("nome").alias("w")).groupBy("w").agg(F.count("*").alias("tipos")), "words")
     deletes = F.concat(F.array("w"), F.transform(F.sequence(F.lit(1), F.length("w")), lambda i: F.concat(F.expr("w").substr(F.lit(1), i - 1), F.expr("w").substr(i + 1, F.length("w")))))
     keyed = words.where(F.length("w") >= 3).select("w", "tipos", F.explode(F.array_distinct(deletes)).alias("key"))
-    pairs = keyed.alias("r").join(keyed.alias("o"), "key").where(F.col("o.tipos") > 2 * F.col("r.tipos"))
+    pairs = meeting(keyed.alias("r"), keyed.alias("o"), "key").where(F.col("o.tipos") > 2 * F.col("r.tipos"))
     distance = F.levenshtein("r.w", "o.w")
     swapped = (distance == 2) & (F.array_sort(F.split("r.w", "")) == F.array_sort(F.split("o.w", "")))
     pairs = pairs.where((distance == 1) | swapped).where(~F.col("r.w").isin(*NICKNAMES, *PARTICLES, *SUFFIXES))
@@ -98,7 +106,7 @@ def word_readings(rows: DataFrame) -> DataFrame:
     first, others = F.col("p")[0]["tipos"], F.filter("p", lambda x: (x["w"] != F.col("lida")) & (2 * TYPO_ODDS * x["tipos"] >= F.col("p")[0]["tipos"]))  # words have few neighbours
     best = best.select("w", "lida", first.alias("mais"), (F.size(others) + 1).alias("k"))
     typo = F.coalesce(F.col("mais") > TYPO_ODDS * F.col("tipos"), F.lit(False))
-    return words.join(best, "w", "left").select(F.col("w").alias("palavra"), F.when(typo & (F.col("k") == 1), F.col("lida")).otherwise(F.col("w")).alias("lida"), "tipos", (typo & (F.col("k") > 1)).alias("duvida"))
+    return meeting(words, best, "w", "left").select(F.col("w").alias("palavra"), F.when(typo & (F.col("k") == 1), F.col("lida")).otherwise(F.col("w")).alias("lida"), "tipos", (typo & (F.col("k") > 1)).alias("duvida"))
 
 
 def _splits(readings: DataFrame) -> DataFrame:
@@ -109,16 +117,16 @@ def _splits(readings: DataFrame) -> DataFrame:
         "palavra", "tipos", F.expr("substring(palavra, 1, k)").alias("a"), F.expr("substring(palavra, k + 1)").alias("b"))
     left = often.select(F.col("palavra").alias("a"), F.col("tipos").alias("ta"))
     right = often.select(F.col("palavra").alias("b"), F.col("tipos").alias("tb"))
-    found = cuts.join(left, "a").join(right, "b").where(F.least("ta", "tb") > TYPO_ODDS / 2 * F.col("tipos"))
+    found = meeting(meeting(cuts, left, "a"), right, "b").where(F.least("ta", "tb") > TYPO_ODDS / 2 * F.col("tipos"))
     return found.groupBy("palavra").agg(F.max_by(F.array("a", "b"), F.least("ta", "tb")).alias("partes"))
 
 
 def forms(rows: DataFrame) -> DataFrame:
     """``campo, grafia, n, forma`` (sorted words as read, particles aside) and ``ordem`` (as written)."""
     readings = cut(word_readings(rows), "readings")
-    table = readings.join(_splits(readings), "palavra", "left").select("palavra", F.coalesce("partes", F.array("lida")).alias("partes"), "duvida")
+    table = meeting(readings, _splits(readings), "palavra", "left").select("palavra", F.coalesce("partes", F.array("lida")).alias("partes"), "duvida")
     placed = rows.select("campo", "grafia", "n", F.posexplode(plain_words(F.col("grafia"))).alias("i", "palavra"))
-    read = placed.join(table, "palavra").groupBy("campo", "grafia", "n").agg(F.array_sort(F.collect_list(F.struct("i", "partes"))).alias("p"), F.max("duvida").alias("duvida"))
+    read = meeting(placed, table, "palavra").groupBy("campo", "grafia", "n").agg(F.array_sort(F.collect_list(F.struct("i", "partes"))).alias("p"), F.max("duvida").alias("duvida"))
     words = F.flatten(F.transform("p", lambda x: x["partes"]))
     return read.select("campo", "grafia", "n", words.alias("ordem"), F.concat_ws(" ", F.array_sort(words)).alias("forma"), "duvida")
 
@@ -246,14 +254,14 @@ def roots(link: DataFrame) -> DataFrame:
     ends = link.select("campo", "forma", F.col("fim").alias("_fim"))
     step, before = 1, -1
     while True:
-        open_ends = link.select("campo", F.col("salto").alias("forma")).distinct().join(ends.where("not _fim"), ["campo", "forma"]).count()
+        open_ends = meeting(link.select("campo", F.col("salto").alias("forma")).distinct(), ends.where("not _fim"), ["campo", "forma"]).count()
         if not open_ends or (open_ends == before and step >= open_ends):
             break
         before, step = open_ends, step * 2
         up = link.select("campo", F.col("forma").alias("salto"), F.col("salto").alias("_salto"), F.col("melhor").alias("_melhor"))
-        link = cut(link.join(up, ["campo", "salto"]).select("campo", "forma", F.col("_salto").alias("salto"), F.greatest("melhor", "_melhor").alias("melhor")), "chains")
-    landed = link.select("campo", F.col("forma").alias("salto"), F.col("melhor.forma").alias("_ring")).join(ends.withColumnRenamed("forma", "salto"), ["campo", "salto"])
-    return link.join(landed, ["campo", "salto"]).select("campo", "forma", F.when(F.col("_fim"), F.col("salto")).otherwise(F.col("_ring")).alias("raiz"))
+        link = cut(meeting(link, up, ["campo", "salto"]).select("campo", "forma", F.col("_salto").alias("salto"), F.greatest("melhor", "_melhor").alias("melhor")), "chains")
+    landed = meeting(link.select("campo", F.col("forma").alias("salto"), F.col("melhor.forma").alias("_ring")), ends.withColumnRenamed("forma", "salto"), ["campo", "salto"])
+    return meeting(link, landed, ["campo", "salto"]).select("campo", "forma", F.when(F.col("_fim"), F.col("salto")).otherwise(F.col("_ring")).alias("raiz"))
 
 
 def entities(acts: DataFrame, fields: tuple[str, ...] = ("nome", "assinante")) -> DataFrame:
@@ -272,16 +280,16 @@ def entities(acts: DataFrame, fields: tuple[str, ...] = ("nome", "assinante")) -
     probe = sized.mapInPandas(_keys(probe_keys, "forma"), f"campo string, forma string, {kept}").withColumn("chave", F.xxhash64("campo", "chave"))
     offer = sized.mapInPandas(_keys(offer_keys, "c_forma"), f"campo string, c_forma string, {kept}").withColumn("chave", F.xxhash64("campo", "chave"))
     offer = offer.select("campo", "c_forma", "chave", F.col("n").alias("c_n"), F.col("letras").alias("c_letras"), F.col("palavras").alias("c_palavras"), F.col("duvida").alias("c_duvida"))
-    meet = probe.join(offer, ["campo", "chave"]).where("forma <> c_forma")
+    meet = meeting(probe, offer, ["campo", "chave"]).where("forma <> c_forma")
     # A form attaches only to one with more letters, or to a more frequent or less doubtful one with as many.
     better = (F.col("c_n") > 2 * F.col("n")) | (F.col("duvida") & ~F.col("c_duvida"))
     ahead = (F.col("c_letras") > F.col("letras")) | ((F.col("c_letras") >= F.col("letras") - 1) & better & (F.col("c_palavras") == F.col("palavras")))
     meet = meet.where(ahead & (F.col("c_palavras") >= F.col("palavras") - 1)).select("campo", "forma", "c_forma", "c_n").distinct()
-    meet = meet.join(form.select("campo", "forma", "ordem"), ["campo", "forma"]).join(form.select("campo", F.col("forma").alias("c_forma"), F.col("ordem").alias("c_ordem")), ["campo", "c_forma"])
+    meet = meeting(meeting(meet, form.select("campo", "forma", "ordem"), ["campo", "forma"]), form.select("campo", F.col("forma").alias("c_forma"), F.col("ordem").alias("c_ordem")), ["campo", "c_forma"])
     scored = meet.select("campo", "forma", "ordem", "c_forma", "c_ordem", "c_n").mapInPandas(_score, "campo string, forma string, c_forma string, posterior double")
     best = scored.groupBy("campo", "forma").agg(F.max_by("c_forma", F.struct("posterior", "c_forma")).alias("pai"))
-    link = cut(form.select("campo", "forma").join(best, ["campo", "forma"], "left").withColumn("pai", F.coalesce("pai", "forma")), "links")
-    return written.join(roots(link.join(form.select("campo", "forma", "n"), ["campo", "forma"])), ["campo", "forma"]).select("campo", "grafia", "n", F.col("raiz").alias("entidade"))
+    link = cut(meeting(form.select("campo", "forma"), best, ["campo", "forma"], "left").withColumn("pai", F.coalesce("pai", "forma")), "links")
+    return meeting(written, roots(meeting(link, form.select("campo", "forma", "n"), ["campo", "forma"])), ["campo", "forma"]).select("campo", "grafia", "n", F.col("raiz").alias("entidade"))
 
 
 def variant_pairs(acts: DataFrame) -> DataFrame:
@@ -289,4 +297,4 @@ def variant_pairs(acts: DataFrame) -> DataFrame:
     linked = cut(entities(acts), "entities")
     a = linked.select("campo", "entidade", F.col("grafia").alias("grafia_a"))
     b = linked.select("campo", "entidade", F.col("grafia").alias("grafia_b"))
-    return a.join(b, ["campo", "entidade"]).where("grafia_a < grafia_b").select("campo", "grafia_a", "grafia_b")
+    return meeting(a, b, ["campo", "entidade"]).where("grafia_a < grafia_b").select("campo", "grafia_a", "grafia_b")

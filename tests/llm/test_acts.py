@@ -197,6 +197,20 @@ def test_doubled_letter_in_a_surname(spark, acts):
     assert len(got) == 2 and len(set(got.values())) == 1
 
 
+def test_no_join_of_names_is_broadcast(spark, base, monkeypatch):
+    """Their sides are many times their files, which Spark goes by: the driver would run out of memory on large tables."""
+    plans, cut = {}, name_variants.cut
+
+    def seen(df, label="cut"):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return cut(df, label)
+
+    monkeypatch.setattr(name_variants, "cut", seen)
+    plans["pairs"] = name_variants.variant_pairs(table(spark, base, "doeg_2026"))._jdf.queryExecution().executedPlan().toString()
+    assert {k for k, p in plans.items() if "SortMergeJoin" in p} >= {"readings", "forms", "links", "chains", "entities", "pairs"}
+    assert [k for k, p in plans.items() if "Broadcast" in p and k != "spellings"] == []
+
+
 # ---- problem 5
 
 
