@@ -19,6 +19,8 @@ workers, to keep ordinary words out of the shuffle.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import random
 import unicodedata
 from collections import defaultdict
@@ -64,23 +66,35 @@ _GLYPHS = re.compile(
 _CEDILLA = re.compile(r"(?<=\p{Ll}c),(?=\p{Ll})|(?<=\p{Lu}C),(?=\p{Lu})|(?<=\p{L}\p{Ll}c),(?=\p{L})")
 _HYPHEN_END = re.compile(r"\p{L}[-¬­]\s*$")
 
-#: What a batch is searched for, each in one linear pass (RE2 syntax; together they would leave its fast path): every feature but words needs one of these.
-EVIDENCE = (
-    r"[\f#@\x{ac}\x{ad}]", "   ", r"\pL-[ \r\n]", r"(?:^|[ \n])(?:[*'~_·|]|\.·|°\.)(?:\s|$)", r"(?:^|[^\pL\pN.])(?:\pL ){3,}\pL", r"\p{Ll}\||\|\p{Ll}|\p{Lu}\|\p{Lu}", r"\pL[05]\pL", r"\pL{2}[0-9]\p{Ll}", r"[0-9]\p{Ll}{3}",
-    r"\pLc,\pL|\p{Lu}C,\p{Lu}", r"(?:^|\n)\W{0,8}\d{1,4}\W{0,8}(?:\n|$)", r"\n[^\n]{0,70}\d[^\n]{0,30}\n", r"\b[Pp](?:[áa]g(?:ina)?)?\.?[ *'~_|·.°]*\d+[ *'~_|·.°]*(?:/|de)", r"\bP[áa]g", r"-FEIRA",
-    r"\b[0-9a-f]{3,}(?:[0-9][a-f]|[a-f][0-9])[0-9a-f]*\b|\b[0-9a-f]{0,2}(?:[0-9][a-f]|[a-f][0-9])[0-9a-f]{3,}\b")
+_BLANK = r"\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_LETTER = r"[A-Za-z\x{80}-\x{10ffff}]"
+#: Eight characters of a code, with a letter beside a digit.
+_MIXED = "|".join(rf"[0-9a-f]{{{k}}}(?:[0-9][a-f]|[a-f][0-9])[0-9a-f]{{{6 - k}}}" for k in range(7))
+#: What a text must hold for an expression below to match in it (RE2 syntax, one linear pass over a batch each). Each lets
+#: through more than its expression matches, so that what isn't searched for can't be there; every text is labelled.
+GUARDS = {
+    "span": rf"[Pp](?:[áa]g(?:ina)?\.?|\.)[ *'~_|·.°]*[^A-Za-z ]|FEIRA|SEGUNDA|TERÇA|QUARTA|QUINTA|SEXTA|SÁBADO|DOMINGO|{_MIXED}", "gaps": "   ", "spaced": rf"(?:^|[^A-Za-z0-9_.])(?:{_LETTER} ){{3}}{_LETTER}",
+    "glyph": rf"[@|]{_LETTER}|{_LETTER}[@|]|{_LETTER}[05]{_LETTER}|{_LETTER}{{2}}[0-9]{_LETTER}|[0-9]{_LETTER}{{3}}",
+    "cedilla": rf"[cC],{_LETTER}", "stray": rf"(?:^|[{_BLANK}])(?:[*'~_·|]|\.·|°\.)", "hyphen": rf"[-\x{{ac}}\x{{ad}}](?:[{_BLANK}]|$)"}
+_MAY = {g: 1 << i for i, g in enumerate((*GUARDS, "fields"))}
+_SPAN_MAY, _GAPS_MAY, _SPACED_MAY, _GLYPH_MAY, _CEDILLA_MAY, _STRAY_MAY, _HYPHEN_MAY, _FIELDS_MAY = _MAY.values()
+ALL_MAY = sum(_MAY.values())
+_FIELD_ENDS = rf"{_LETTER}(?:[{_BLANK}]*[:=–—]|[{_BLANK}]+-[{_BLANK}]|[{_BLANK}]{{2}})"
 _FIELDS = re.compile(r"(?:^|[|;\n])\s*\p{L}{5,}(?:\s*[:=–—]|\s+-\s|\s{2})")
 _LABEL, _LABEL_UPPER = re.compile(r"\W*\p{L}{4,}(?:\s*[:=–—]|\s+-\s)"), re.compile(r"\W*\p{Lu}{4,}(?:\s*[:=–—]|\s+-\s)")
 _LOWER_WORD, _ENDED, _GAPS, _NUMBER, _DASHED = re.compile(r"\b\p{Ll}{2,}\b"), re.compile(r"[.!?;:”]\W*$"), re.compile(r"\S {3,}\S"), re.compile(r"\W*\d{1,4}\W*"), re.compile(r"[-–—]\W*\d{1,4}\W*[-–—]")
 _TITLE, _PAGE, _TOTAL, _ROMAN = re.compile(r"\p{Lu}\p{L}+ (?:\p{L}+ ){0,2}\p{Lu}"), re.compile(r"\b(?:p|p[áa]g|p[áa]gina|folha|fls?)\b\W*\d", re.I), re.compile(r"\d\W*/\W*\d"), re.compile(r"\b[IVXLC]{2,}\b")
+_LINE_ENDS, _ASCII_DIGIT, _MANY_LOWER = re.compile(r"(\r?\n|\f)"), re.compile("[0-9]"), re.compile(r"(?:[a-z][^a-z]*+){21}")
 _DAY_RE, _CODE_RE, _AFTER, _OF = re.compile(_DAY), re.compile(rf"\b{_CODE}\b"), re.compile(r"\b(?:[àa]s?|[dn]as?|pelas?|cada|segundo|conforme)$", re.I), re.compile(r"(?:d[aeo]s?\b|,)", re.I)
 
 
-def has_evidence(texts: pa.Array) -> np.ndarray:
-    hit = np.zeros(len(texts), bool)
-    for pattern in EVIDENCE:
-        hit |= pc.match_substring_regex(texts, pattern).to_numpy(zero_copy_only=False)
-    return hit
+def guards(texts: pa.Array) -> np.ndarray:
+    """For each text the bits (``_MAY``) of what may be found in it."""
+    out = np.zeros(len(texts), np.int64)
+    for g, pattern in GUARDS.items():
+        out |= np.where(np.asarray(pc.fill_null(pc.match_substring_regex(texts, pattern), False)), _MAY[g], 0)
+    out |= np.where(np.asarray(pc.fill_null(pc.count_substring_regex(texts, _FIELD_ENDS), 0)) > 2, _FIELDS_MAY, 0)
+    return np.where((out & _SPAN_MAY) > 0, out | _STRAY_MAY | _HYPHEN_MAY, out)  # lines also begin and end at a span
 
 
 FEATURES = (
@@ -88,18 +102,19 @@ FEATURES = (
     "after_preposition", "before_of", "short", "long", "lower_words", "ends_sentence", "interrupts", "previous_open", "next_lower", "next_upper", "hyphen_end", "hyphen_lower", "hyphen_upper", "first", "last", "loose",
     "digits", "stray", "stray_loose", "inline_hyphen", "spaced", "glyph", "cedilla", "label_start", "fields", "stray_fields")
 _BIT = {f: 1 << i for i, f in enumerate(FEATURES)}
-#: What stands for the line of an excerpt without other evidence.
+#: What stands for the line around a word that is judged alone.
 _PLAIN_LINE = sum(_BIT[f] for f in ("any", "first", "last", "lower_words", "long"))
 
 
-def pieces(text: str) -> list[tuple[int, int, str, bool]]:
+def pieces(text: str, may: int = ALL_MAY) -> list[tuple[int, int, str, bool]]:
     """(start, end, what separates it from the piece before, whether it is a span inside a line)."""
     out, last, sep = [], 0, ""
-    for m in _PIECES.finditer(text):
+    spans = may & _SPAN_MAY
+    for m in (_PIECES if spans else _LINE_ENDS).finditer(text) if spans or "\n" in text or "\f" in text else ():
         if text[last : m.start()].strip():
             out.append((last, m.start(), sep, False))
             sep = ""
-        if m.group(2):
+        if spans and m.group(2):
             out.append((m.start(), m.end(), sep or " ", True))
             sep = " "
         else:
@@ -110,42 +125,51 @@ def pieces(text: str) -> list[tuple[int, int, str, bool]]:
     return out
 
 
-def features(text: str, parts: list[tuple[int, int, str, bool]] | None = None) -> list[int]:
-    """One bit mask of layout features (``FEATURES``) for each piece."""
-    parts, out = pieces(text) if parts is None else parts, []
+def features(text: str, parts: list[tuple[int, int, str, bool]] | None = None, may: int = ALL_MAY) -> list[int]:
+    """One bit mask of layout features (``FEATURES``) for each piece; what ``may`` (``guards``) rules out isn't searched for."""
+    parts, out = pieces(text, may) if parts is None else parts, []
     # White space that varies at random, or a line for every word or two, makes line ends meaningless.
-    loose = bool(re.search(r"[\t\u00a0]", text)) or (len(parts) > 5 and text.count(" ") < 2 * len(parts))
-    fields = len(_FIELDS.findall(text)) > 2  # a list of labelled fields
-    capitals = [_upper(text[a : min(b, a + 200)]) for a, b, _, _ in parts]
+    loose = "\t" in text or "\u00a0" in text or (len(parts) > 5 and text.count(" ") < 2 * len(parts))
+    fields = bool(may & _FIELDS_MAY) and len(_FIELDS.findall(text)) > 2  # a list of labelled fields
+    fixed = not loose and not fields
+    capitals = [fixed and _upper(text[a : min(b, a + 200)]) for a, b, _, _ in parts]
+    opened = False  # whether the piece before has no final mark
     for i, (a, b, sep, span) in enumerate(parts):
         raw = text[a:b]
         line = raw.strip()
-        left = text[parts[i - 1][0] : parts[i - 1][1]].rstrip() if i else ""
         right = text[parts[i + 1][0] : parts[i + 1][1]].lstrip() if i + 1 < len(parts) else ""
-        digit, brief, fixed = any(c.isdigit() for c in line), len(line) < 80, not loose and not fields
+        digit, brief = bool(_ASCII_DIGIT.search(line)) or any(map(str.isdigit, line)), len(line) < 80
         labelled = bool((_LABEL if fields else _LABEL_UPPER).match(line))
-        few = not brief and " " in line and len(_LOWER_WORD.findall(line[:400])) < 4 or brief and len(_LOWER_WORD.findall(line)) < 4
-        gaps, hyphen, stray = bool(_GAPS.search(line)), bool(_HYPHEN_END.search(raw[-8:])), any(m.strip() != "|" or not fields for m in _STRAY.findall(line))
-        opened = bool(left) and not _ENDED.search(left[-8:])
+        few = (brief or " " in line) and sum(1 for _ in itertools.islice(_LOWER_WORD.finditer(line if brief else line[:400]), 4)) < 4
+        hyphen, ended = bool(may & _HYPHEN_MAY) and bool(_HYPHEN_END.search(raw[-8:])), bool(_ENDED.search(line[-8:]))
+        stray = bool(may & _STRAY_MAY) and any(m.strip() != "|" or not fields for m in _STRAY.findall(line))
         lower, upper = right[:1].islower(), right[:1].isupper()
-        got = {
-            "any": True, "span": span, "form_feed": sep == "\f", "hash": line.startswith("#"), "number_only": not loose and bool(_NUMBER.fullmatch(line)), "dashed_number": bool(_DASHED.fullmatch(line)),
-            "gaps": gaps and fixed, "upper": fixed and not span and not labelled and capitals[i] and not (i and capitals[i - 1] or i + 1 < len(parts) and capitals[i + 1]),
-            "title_number": digit and brief and few and fixed and not labelled and bool(_TITLE.search(line)), "pipes_number": digit and brief and not loose and not labelled and line.count("|") + line.count("–") >= 2,
-            "page_word": digit and brief and bool(_PAGE.search(line)), "page_total": span and bool(_TOTAL.search(line)), "roman": brief and not loose and not labelled and bool(_ROMAN.search(line)),
-            "day": brief and bool(_DAY_RE.search(line)), "code": brief and bool(_CODE_RE.search(line)), "capital_start": span and line[:1].isupper(), "after_preposition": span and bool(_AFTER.search(left[-12:])),
-            "before_of": span and bool(_OF.match(right)), "short": not loose and len(line) < 30, "long": len(line) > 90, "lower_words": not few, "ends_sentence": bool(_ENDED.search(line[-8:])), "interrupts": opened and lower and not fields,
-            "previous_open": opened and not fields, "next_lower": lower, "next_upper": upper, "hyphen_end": hyphen, "hyphen_lower": hyphen and lower, "hyphen_upper": hyphen and upper, "first": i == 0, "last": i + 1 == len(parts),
-            "loose": loose, "digits": digit, "stray": stray and fixed, "stray_loose": stray and loose, "stray_fields": stray and fields and not loose, "inline_hyphen": bool(_INLINE_HYPHEN.search(line)), "spaced": bool(_SPACED.search(line)),
-            "glyph": bool(_GLYPHS.search(line)), "cedilla": bool(_CEDILLA.search(line)), "label_start": labelled, "fields": fields,
-        }
-        out.append(sum(_BIT[f] for f, on in got.items() if on))
+        got = [
+            "any", span and "span", sep == "\f" and "form_feed", line[:1] == "#" and "hash", digit and not loose and _NUMBER.fullmatch(line) and "number_only", digit and _DASHED.fullmatch(line) and "dashed_number",
+            may & _GAPS_MAY and fixed and _GAPS.search(line) and "gaps", not span and not labelled and capitals[i] and not (i and capitals[i - 1] or i + 1 < len(parts) and capitals[i + 1]) and "upper",
+            opened and lower and not fields and "interrupts", opened and not fields and "previous_open", lower and "next_lower", upper and "next_upper", hyphen and "hyphen_end", hyphen and lower and "hyphen_lower", hyphen and upper and "hyphen_upper",
+            i == 0 and "first", i + 1 == len(parts) and "last", loose and "loose", digit and "digits", ended and "ends_sentence", not few and "lower_words", len(line) > 90 and "long", not loose and len(line) < 30 and "short",
+            stray and fixed and "stray", stray and loose and "stray_loose", stray and fields and not loose and "stray_fields", may & _HYPHEN_MAY and _INLINE_HYPHEN.search(line) and "inline_hyphen", may & _SPACED_MAY and _SPACED.search(line) and "spaced",
+            may & _GLYPH_MAY and _GLYPHS.search(line) and "glyph", may & _CEDILLA_MAY and _CEDILLA.search(line) and "cedilla", labelled and "label_start", fields and "fields",
+        ]
+        if brief:
+            got += [
+                digit and few and fixed and not labelled and _TITLE.search(line) and "title_number", digit and not loose and not labelled and line.count("|") + line.count("–") >= 2 and "pipes_number", digit and _PAGE.search(line) and "page_word",
+                not loose and not labelled and _ROMAN.search(line) and "roman", may & _SPAN_MAY and _DAY_RE.search(line) and "day", may & _SPAN_MAY and _CODE_RE.search(line) and "code"]
+        if span:
+            left = text[parts[i - 1][0] : parts[i - 1][1]].rstrip() if i else ""
+            got += [_TOTAL.search(line) and "page_total", line[:1].isupper() and "capital_start", _AFTER.search(left[-12:]) and "after_preposition", _OF.match(right) and "before_of"]
+        out.append(sum(_BIT[f] for f in got if f))
+        opened = not ended
     return out
 
 
 def _upper(line: str) -> bool:
-    letters = [c for c in line if c.isalpha()]
-    return len(letters) > 3 and sum(c.isupper() for c in letters) > 0.9 * len(letters)
+    """Whether nearly all letters of ``line``, of at most 200 characters, are capitals."""
+    if _MANY_LOWER.search(line):
+        return False
+    letters = list(filter(str.isalpha, line))
+    return len(letters) > 3 and sum(map(str.isupper, letters)) > 0.9 * len(letters)
 
 
 def names_of(mask: int, words: list[tuple[str, int]]) -> list[str]:
@@ -421,7 +445,7 @@ TYPED = ("nome", "assinante", "orgao", "cargo", "cargo_assinante")
 
 
 def _evidence(common: list[str]):
-    """Rows of (id, word, piece, masks): rare words of each excerpt, and the features of excerpts with other evidence."""
+    """Rows of (id, word, piece, masks): rare words of each excerpt, and the features of each excerpt."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(common, pa.string())
@@ -441,22 +465,19 @@ def _evidence(common: list[str]):
             row = np.concatenate([parent[at], np.asarray(pc.list_parent_indices(own))]).astype(np.int64)
             key = row * (codes.max(initial=0) + 1) + codes
             at = at[~np.isin(key[: len(at)], key[len(at) :])]
-            marked = np.flatnonzero(has_evidence(texts))
-            text = {int(i): texts[int(i)].as_py() for i in marked}
+            may, text = guards(texts).tolist(), texts.to_pylist()
+            parts = [pieces(t, m) for t, m in zip(text, may, strict=True)]
             held = words.take(pa.array(at))
-            parts = {i: pieces(t) for i, t in text.items()}
             piece, lines = np.zeros(len(at), np.int32), {}
-            for k in np.flatnonzero(np.isin(parent[at], marked)):
-                i = int(parent[at[k]])
-                if len(parts[i]) > 1:
-                    if i not in lines:
-                        lines[i] = [text[i][x:y].lower().replace("(", "").replace(")", "") for x, y, _, _ in parts[i]]
-                    w = held[int(k)].as_py()
-                    piece[k] = next((j for j, line in enumerate(lines[i]) if w in line), 0)
-            masks = pa.array([None] * len(at) + [features(text[int(i)], parts[int(i)]) for i in marked], pa.list_(pa.int64()))
-            rows = pa.array(np.concatenate([parent[at], marked]).astype(np.int64))
-            none = pa.nulls(len(marked), pa.string())
-            yield pa.RecordBatch.from_arrays([ids.take(rows), pa.concat_arrays([held.cast(pa.string()), none]), pa.array(np.concatenate([piece, np.zeros(len(marked), np.int32)])), masks], ["linha_csv", "palavra", "peca", "mascaras"])
+            several = np.array([len(x) > 1 for x in parts], bool)
+            for k, i, w in zip(np.flatnonzero(several[parent[at]]).tolist(), parent[at][several[parent[at]]].tolist(), held.filter(pa.array(several[parent[at]])).to_pylist(), strict=True):
+                if i not in lines:
+                    lines[i] = [text[i][x:y].lower().replace("(", "").replace(")", "") for x, y, _, _ in parts[i]]
+                piece[k] = next((j for j, line in enumerate(lines[i]) if w in line), 0)
+            masks = pa.array([None] * len(at) + [features(t, x, m) for t, x, m in zip(text, parts, may, strict=True)], pa.list_(pa.int64()))
+            rows = pa.array(np.concatenate([parent[at], np.arange(len(text))]).astype(np.int64))
+            none = pa.nulls(len(text), pa.string())
+            yield pa.RecordBatch.from_arrays([ids.take(rows), pa.concat_arrays([held.cast(pa.string()), none]), pa.array(np.concatenate([piece, np.zeros(len(text), np.int32)])), masks], ["linha_csv", "palavra", "peca", "mascaras"])
 
     return run
 
@@ -476,16 +497,27 @@ def evidence(acts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 # ---------------------------------------------------------------- results
 
 
+def _judge(model: Labeller):
+    """The labels of the pieces of an excerpt, each a mask and its doubtful words; most excerpts are alike."""
+
+    @functools.lru_cache(1 << 16)
+    def best(rows: tuple[tuple[int, tuple[tuple[str, int], ...]], ...]) -> list[str]:
+        return model.best([names_of(m, w) for m, w in rows])
+
+    return best
+
+
 def _labelled(model: Labeller):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = _judge(model)
         for b in batches:
             hit = []
             for masks, words in zip(b["mascaras"], b["palavras"], strict=True):
-                masks = [int(m) for m in masks] if len(masks) else [_PLAIN_LINE]
-                found: dict[int, list[tuple[str, int]]] = defaultdict(list)
+                masks = masks.tolist() if len(masks) else [_PLAIN_LINE]
+                found: dict[int, set[tuple[str, int]]] = defaultdict(set)
                 for x in words:
-                    found[min(x["peca"], len(masks) - 1)].append((x["tipo"], x["grau"]))
-                hit.append(any(s != "body" for s in model.best([names_of(m, found[i]) for i, m in enumerate(masks)])))
+                    found[min(x["peca"], len(masks) - 1)].add((x["tipo"], x["grau"]))
+                hit.append(any(s != "body" for s in best(tuple((m, tuple(sorted(found.get(i, ())))) for i, m in enumerate(masks)))))
             yield b.loc[hit, ["linha_csv"]]
 
     return run
@@ -540,12 +572,14 @@ def reassemble(text: str, labels: list[str], words: dict[str, str]) -> str:
 
 def _repaired(model: Labeller):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = _judge(model)
         for b in batches:
             texts = []
-            for text, found, marked in zip(b["trecho"], b["achados"], b["marcado"], strict=True):
-                if text and (marked or found is not None and len(found)):
+            for text, found, may in zip(b["trecho"], b["achados"], guards(pa.array(b["trecho"], pa.string())).tolist(), strict=True):
+                if text:
                     seen = {x["palavra"]: (x["tipo"], x["grau"]) for x in (found if found is not None else [])}
-                    labels = model.best([names_of(m, w) for m, w in zip(features(text), words_in(text, seen), strict=True)])
+                    masks = features(text, may=may)
+                    labels = best(tuple((m, tuple(sorted(w))) for m, w in zip(masks, words_in(text, seen) if seen else [()] * len(masks), strict=True)))
                     if any(s != "body" for s in labels):
                         text = reassemble(text, labels, {x["palavra"]: x["certa"] for x in (found if found is not None else []) if model.best([names_of(_PLAIN_LINE | (_BIT["glyph"] if _GLYPHS.search(x["palavra"]) else 0), [(x["tipo"], x["grau"])])]) != ["body"]})
                 texts.append(text)
@@ -556,9 +590,8 @@ def _repaired(model: Labeller):
 
 def repaired(acts: DataFrame) -> DataFrame:
     """``linha_csv, texto`` for every act: repaired if it bears a trace, otherwise as it was."""
-    words, masks, counts = evidence(acts)
+    words, _, counts = evidence(acts)
     model = fitted(acts, words, counts)
     found = words.groupBy("linha_csv").agg(F.collect_set(F.struct("palavra", "certa", "tipo", "grau")).alias("achados"))
-    marked = masks.select("linha_csv").distinct().withColumn("marcado", F.lit(True))
-    rows = acts.select("linha_csv", "trecho").join(found.join(marked, "linha_csv", "full"), "linha_csv", "left")
-    return rows.select("linha_csv", "trecho", "achados", F.coalesce("marcado", F.lit(False)).alias("marcado")).mapInPandas(_repaired(model), f"linha_csv {dict(acts.dtypes)['linha_csv']}, texto string")
+    rows = acts.select("linha_csv", "trecho").join(found, "linha_csv", "left")
+    return rows.select("linha_csv", "trecho", "achados").mapInPandas(_repaired(model), f"linha_csv {dict(acts.dtypes)['linha_csv']}, texto string")

@@ -49,6 +49,28 @@ def test_page_traces(spark, acts):
     assert rows(page_noise.scanned(df.limit(0))) == []
 
 
+def test_every_excerpt_is_labelled(spark, acts):
+    """Heads without digits, at either end or of one case, and references in small letters count as others do."""
+    clean = BODY[0].format(i=7)
+    cases = [clean, clean.replace(" exercer", "\nDIÁRIO OFICIAL\nexercer"), clean.replace("cargo de", "cargo de pág. 12"), clean.replace("perante", "peran-\tte")]
+    df = acts(*clean_acts(300), *[{"trecho": t} for t in cases])
+    _, masks, _ = page_noise.evidence(df)
+    got = {r.linha_csv - 300: list(r.mascaras) for r in masks.where("linha_csv > 300").collect()}
+    assert got == {i: page_noise.features(t) for i, t in enumerate(cases, 1)}
+    assert (302,) in rows(page_noise.scanned(df)) and (301,) not in rows(page_noise.scanned(df))
+
+
+def test_guards_lose_no_feature():
+    import random
+
+    import pyarrow as pa
+
+    rng, added = random.Random(5), ["\n", "\r\n", "\f", "   ", "\t", "\u2003", "- ", "¬ ", "\xad", "*", "|", "'", "°.", "@", "c,a", "0a", " a b c d", " A B C D", "Pág. 3/40", "p. 12", "2 RIO, SÁBADO", "código ab12cd34", "OBRA: a", "²"]
+    texts = ["".join(x for c in BODY[k % 4].format(i=k) for x in (c, rng.choice(added) if rng.random() < 0.02 else "")) for k in range(400)]
+    for text, may in zip(texts, page_noise.guards(pa.array(texts)).tolist(), strict=True):
+        assert page_noise.pieces(text, may) == page_noise.pieces(text) and page_noise.features(text, may=may) == page_noise.features(text)
+
+
 def test_words_are_judged_by_counts(spark, acts):
     good = [{"trecho": f"NOMEAR para a Secretaria de Estado {i}."} for i in range(200)]
     df = acts(*good, {"trecho": "NOMEAR para a Sccretaria de Estado."}, {"trecho": "NOMEAR para a Secretariade Estado."}, {"trecho": "NOMEAR para a Sccretaria.", "orgao": "Sccretaria"})
