@@ -9,7 +9,8 @@ if the end lies inside a word: where it goes on, it nearly always goes on with a
 doesn't depend on how often a value is cut at the same place, the log-odds do.
 
 Thresholds are fitted: they lie in the emptiest stretch of the real log-odds (cut and complete values
-are two heaps), and cuts planted in at most ``PLANTED`` values decide between stretches that are alike.
+are two heaps). The places inside all values where a cut could be taken for a complete end, because
+other values end with the same characters, decide between stretches that are alike. Nothing is sampled.
 
 Training covers every character of every value. The contexts that matter are kept in a table sized by
 their number; beyond ``MOST_CONTEXTS`` they are counted in several passes. Contexts, not texts, are
@@ -36,9 +37,7 @@ TAIL = 20
 ORDERS = (4, 5, 6, 9, 14, 20)
 #: A context seen so often has as much weight as what shorter ones say.
 SMOOTHING = 15.0
-#: Values of each column in which a cut is planted to fit the thresholds.
-PLANTED = 3000
-#: Width of the bins of log-odds, of the stretch around a threshold, and what a planted cut that is missed costs against a real end in the stretch.
+#: Width of the bins of log-odds, of the stretch around a threshold, and what missing a cut at every place costs against a real end in the stretch.
 BIN, STRETCH, MISSED = 0.25, 2, 0.001
 LOWEST, HIGHEST = -9.0, 0.0
 #: Largest share of a group's values that can be cuts: above it the left heap is another kind of complete end.
@@ -113,16 +112,6 @@ def _ends(fields: tuple[str, ...]):
     return run
 
 
-def _planted_ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Ends of values cut at a place that depends on their hash alone."""
-    for b in batches:
-        texts = normal(pa.array(b["valor"], pa.string())).to_pylist()
-        cut_ = [t[: max(4, int(len(t) * (0.1 + 0.85 * (h % 1000) / 1000)))].rstrip() for t, h in zip(texts, b["h"], strict=True)]
-        lang = language(pa.array([t[-100:] for t in cut_], pa.string()))
-        ok = [len(c) + 1 < len(t) for c, t in zip(cut_, texts, strict=True)]
-        yield pd.DataFrame({"campo": b["campo"], "fim": [t[-TAIL:] for t in cut_], "lingua": lang})[ok]
-
-
 def _suffix_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     up, down = _powers(TAIL + 1)
     for b in batches:
@@ -237,36 +226,47 @@ def contexts(acts: DataFrame, fields: tuple[str, ...], suffixes: DataFrame) -> D
     return seen.select(name.alias("campo"), F.col("ordem").cast("int").alias("ordem"), "hash", "total", "letras").groupBy("campo", "ordem", "hash").agg(F.sum("total").alias("total"), F.sum("letras").alias("letras"))
 
 
-def _log_odds(own: int) -> Column:
-    """Log-odds of an end after interpolation; ``own`` ends and one sighting of each context are the value's own."""
-    share = F.aggregate(F.array_sort("c"), F.lit(0.5), lambda p, x: (F.greatest(x["fins"] - own, F.lit(0)) + SMOOTHING * p) / (F.greatest(x["total"] - 1, F.lit(0)) + SMOOTHING))
+def _log_odds(seen: Column, own: int) -> Column:
+    """Log-odds of an end after interpolation of the contexts ``seen``, short ones first; ``own`` ends and one sighting of each are the value's own."""
+    share = F.aggregate(seen, F.lit(0.5), lambda p, x: (F.greatest(x["fins"] - own, F.lit(0)) + SMOOTHING * p) / (F.greatest(x["total"] - 1, F.lit(0)) + SMOOTHING))
     return F.log(F.greatest(share, F.lit(1e-12)) / F.greatest(1 - share, F.lit(1e-12)))
 
 
+def inner_places(scored: DataFrame) -> DataFrame:
+    """``campo, fim, ordem, lingua, log_odds, n``: the places inside all values after characters that some value ends with.
+
+    A place counts once, with the longest of these contexts (the last ``ordem`` characters of ``fim``); its log-odds are those of a cut there. ``scored``
+    has ``campo, fim`` and the contexts ``c`` of each distinct end. Places aren't told apart by language.
+    """
+    c = F.array_sort("c")
+    one = F.transform(F.sequence(F.lit(1), F.size("c")), lambda k: F.struct(
+        F.element_at(c, k)["ordem"].alias("ordem"), F.element_at(c, k)["hash"].alias("hash"), F.greatest(F.element_at(c, k)["total"] - F.element_at(c, k)["fins"], F.lit(0)).alias("n"),
+        _log_odds(F.slice(c, F.lit(1), k), 0).alias("log_odds"), F.when(k > 1, F.struct(F.get(c, k - 2)["ordem"].alias("ordem"), F.get(c, k - 2)["hash"].alias("hash"))).alias("menor")))
+    each = scored.where(F.size("c") > 0).select("campo", "fim", F.explode(one).alias("x")).groupBy("campo", F.col("x.ordem").alias("ordem"), F.col("x.hash").alias("hash")).agg(
+        F.min("fim").alias("fim"), F.max("x.n").alias("n"), F.max("x.log_odds").alias("log_odds"), F.max("x.menor").alias("menor"))
+    longer = each.where("menor is not null").groupBy("campo", F.col("menor.ordem").alias("ordem"), F.col("menor.hash").alias("hash")).agg(F.sum("n").alias("maiores"))
+    rest = F.greatest(F.col("n") - F.coalesce("maiores", F.lit(0)), F.lit(0))
+    return each.join(longer, ["campo", "ordem", "hash"], "left").select("campo", "fim", "ordem", F.lit("").alias("lingua"), "log_odds", rest.alias("n"))
+
+
 def end_scores(acts: DataFrame, fields: tuple[str, ...] = ("orgao", "trecho")) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Ends of all values (``linha_csv, campo, fim, lingua``), each distinct end with ``log_odds`` and ``na_palavra``, planted ends with ``log_odds``."""
+    """Ends of all values (``linha_csv, campo, fim, lingua``), each distinct end with ``log_odds`` and ``na_palavra``, ``inner_places``."""
     ship_code(acts.sparkSession)
     filled = acts.select("linha_csv", *[F.coalesce(F.col(f), F.lit("")).alias(f) for f in fields])
     ends = cut(spread(filled).mapInArrow(_ends(fields), f"linha_csv {dict(acts.dtypes)['linha_csv']}, campo string, fim string, lingua string"), "value-ends")
-    sample = None
-    for f in fields:
-        part = filled.where(F.trim(f) != "").select(F.lit(f).alias("campo"), F.col(f).alias("valor"), F.xxhash64("linha_csv", f).alias("h")).orderBy("h", "valor").limit(PLANTED)
-        sample = part if sample is None else sample.unionByName(part)
-    planted = cut(sample.mapInPandas(_planted_ends, "campo string, fim string, lingua string"), "planted")  # at most PLANTED for each column
-    counted = ends.groupBy("campo", "fim").agg(F.count("*").alias("n")).unionByName(planted.select("campo", "fim").distinct().withColumn("n", F.lit(0).cast("bigint")))
-    suffixes = cut(counted.groupBy("campo", "fim").agg(F.sum("n").alias("n")).mapInPandas(_suffix_rows, "campo string, fim string, ordem int, hash bigint, n bigint"), "ends")
+    counted = ends.groupBy("campo", "fim").agg(F.count("*").alias("n"))
+    suffixes = cut(counted.mapInPandas(_suffix_rows, "campo string, fim string, ordem int, hash bigint, n bigint"), "ends")
     seen = contexts(acts, fields, suffixes)
     ended = suffixes.groupBy("campo", "ordem", "hash").agg(F.sum("n").alias("fins"))
     both = ended.join(seen, ["campo", "ordem", "hash"])
-    scored = suffixes.join(both, ["campo", "ordem", "hash"]).groupBy("campo", "fim").agg(F.collect_list(F.struct("ordem", "total", "fins", "letras")).alias("c"))
+    scored = cut(suffixes.join(both, ["campo", "ordem", "hash"]).groupBy("campo", "fim").agg(F.collect_list(F.struct("ordem", "total", "fins", "letras", "hash")).alias("c")), "end-contexts")
     # The longest context that was seen often enough to tell what follows it.
     known = F.filter(F.array_sort("c"), lambda x: (x["total"] > LEAST_LETTERS) & (x["ordem"] > ORDERS[0]))
     onward = F.when(F.size(known) > 0, F.element_at(known, -1))
     inside = (onward["letras"] >= F.greatest(IN_WORD * (onward["total"] - onward["fins"]), SLIPS * onward["fins"])) & (onward["letras"] >= LEAST_LETTERS)
     inside = F.coalesce(inside, F.lit(False)) & F.col("fim").rlike(r"\p{L}$") & F.col("campo").isin(*PHRASES)
-    scored = cut(scored.select("campo", "fim", _log_odds(1).alias("log_odds"), _log_odds(0).alias("plantado"), inside.alias("na_palavra")), "scores")
-    planted = planted.join(scored.select("campo", "fim", F.col("plantado").alias("log_odds")), ["campo", "fim"])
-    return ends, scored.drop("plantado"), planted
+    scores = cut(scored.select("campo", "fim", _log_odds(F.array_sort("c"), 1).alias("log_odds"), inside.alias("na_palavra")), "scores")
+    return ends, scores, inner_places(scored)
 
 
 def marked() -> Column:
@@ -274,14 +274,14 @@ def marked() -> Column:
     return F.col("fim").rlike(r"[.!?”]$")
 
 
-def thresholds(ends: DataFrame, scores: DataFrame, planted: DataFrame) -> dict[tuple[str, str, bool], float]:
-    """Least log-odds of a complete value by column, language and mark."""
+def thresholds(ends: DataFrame, scores: DataFrame, places: DataFrame) -> dict[tuple[str, str, bool], float]:
+    """Least log-odds of a complete value by column, language and mark; ``places`` (rows, or ``n`` each) are where cuts would be."""
     place = F.greatest(F.least(F.floor(F.col("log_odds") / BIN), F.lit(int(HIGHEST / BIN) + 8)), F.lit(int(LOWEST / BIN) - 8)).cast("int").alias("b")
     key = ["campo", "lingua", marked().alias("marca"), place]
     real: dict[tuple[str, str, bool], dict[int, int]] = {}
     cuts: dict[tuple[str, str, bool], dict[int, int]] = {}
-    for df, into in ((ends.join(scores, ["campo", "fim"]), real), (planted, cuts)):
-        for r in df.groupBy(*key).agg(F.count("*").alias("n")).collect():  # bins, languages and columns are few
+    for df, into in ((ends.join(scores, ["campo", "fim"]), real), (places, cuts)):
+        for r in df.groupBy(*key).agg((F.sum("n") if "n" in df.columns else F.count("*")).alias("n")).where("n > 0").collect():  # bins, languages and columns are few
             into.setdefault((r.campo, r.lingua, r.marca), {})[r.b] = r.n
     out = {}
     for k, bins in real.items():
@@ -309,8 +309,8 @@ def truncated(acts: DataFrame, fields: tuple[str, ...] = ("orgao", "trecho")) ->
     An end whose contexts nothing else holds has log-odds 0 and counts as complete. Repeated rows give a
     row each; an empty table gives none; texts are read whole whatever their length.
     """
-    ends, scores, planted = end_scores(acts, fields)
-    limit = thresholds(ends, scores, planted)
+    ends, scores, places = end_scores(acts, fields)
+    limit = thresholds(ends, scores, places)
     least = F.lit(-math.inf)
     for (f, lang, mark), t in limit.items():
         least = F.when((F.col("campo") == f) & (F.col("lingua") == lang) & (marked() == mark), F.lit(t)).otherwise(least)

@@ -284,6 +284,20 @@ def test_contexts_equal_brute_force(spark, acts, monkeypatch, most):
     assert got.keys() == {(n, gram) for (n, _), gram in names.items()}
 
 
+def test_thresholds_are_fitted_on_places_in_all_values(spark, acts):
+    from collections import Counter
+
+    texts = ["o termo será assinado perante a chefia", "assinado perante a chefia imediata e o termo", "a chefia", "termo"] * 1600
+    known = {t[-k:] for t in texts for k in truncation.ORDERS if len(t) >= k}
+    want = Counter()
+    for t in texts:
+        for i in range(truncation.ORDERS[0], len(t)):
+            want[max((t[i - k : i] for k in truncation.ORDERS if k <= i and t[i - k : i] in known), key=len, default="")] += 1
+    del want[""]
+    places = truncation.end_scores(acts(*[{"trecho": t} for t in texts]), ("trecho",))[2]
+    assert {r.fim[-r.ordem :]: r.n for r in places.where("n > 0").collect()} == want and sum(want.values()) > 3000
+
+
 def test_a_second_heap_of_complete_ends_is_no_heap_of_cuts(spark):
     heaps = [(-2.5, 500), (1.0, 500), (-7.0, 5)]
     ends = spark.createDataFrame([(i, "trecho", f"fim {h}.", "pt") for h, n in heaps for i in range(n)], "linha_csv bigint, campo string, fim string, lingua string")
